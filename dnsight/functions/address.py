@@ -9,14 +9,18 @@ UNKNOWN = "UNKNOWN"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
-_GROUP = r"[0-9a-f]{1,4}"
-_GROUPS = rf"{_GROUP}(?::{_GROUP})*"
-# Eight groups, or fewer around one "::"; \z instead of $ because $ forgives a final newline.
-_V6_FULL = rf"\A(?:{_GROUP}:){{7}}{_GROUP}\z"
-_V6_SHORT = (
-    rf"\A(?!(?:(?:\A|::?){_GROUP}(?=:|\z)){{8}})(?:{_GROUPS})?::(?:{_GROUPS})?\z"
+_H = "[0-9a-f]{1,4}"
+_ZONE = r"(?:%[^%/]+)?"
+# Eight groups, where a dotted tail stands for two; \z instead of $, which forgives a final newline.
+_FULL = rf"(?i)\A(?:{_H}:){{6}}(?:{_H}:{_H}|{_V4}){_ZONE}\z"
+# At most seven groups around one "::".
+_SHORT = (
+    rf"(?i)\A(?!(?:(?:\A|::?){_H}(?=[:%]|\z)){{8}})(?!(?:(?:\A|::?){_H}(?=:)){{6,}}::?{_OCTET}\.)"
+    rf"(?:{_H}(?::{_H})*)?::(?:(?:{_H}:)*(?:{_H}|{_V4}))?{_ZONE}\z"
 )
-_THREE_GROUPS = rf"\A{_GROUP}:{_GROUP}:{_GROUP}:"
+_THREE_GROUPS = rf"(?i)\A{_H}:{_H}:{_H}:"
+_HEAD = r"(?i)\A0*([0-9a-f]+):0*([0-9a-f]+):0*([0-9a-f]+):.*\z"
+_ZERO_TAIL = r"\A0(?::0)*\z|(?::0)+\z"
 
 # The address patterns of the SQL staging model. The class contains the separator, so
 # on a plain IPv6 text the first pattern matches the whole address and not a /48.
@@ -24,33 +28,19 @@ _PATTERN_V6 = "^([0-9a-fA-F:]+:[0-9a-fA-F:]+:[0-9a-fA-F:]+)"
 _PATTERN_V4 = r"^([0-9]+\.[0-9]+\.[0-9]+)"
 
 
-def _first_groups(text: Column) -> Column:
-    """First three groups of a valid IPv6 text that may have '::' among them."""
-    left = F.substring_index(text, "::", 1)
-    right = F.substring_index(text, "::", -1)
-    left_groups = F.when(left == "", F.array().cast("array<string>")).otherwise(F.split(left, ":"))
-    right_groups = F.when(right == "", F.array().cast("array<string>")).otherwise(
-        F.split(right, ":")
-    )
-    gap = F.lit(8) - F.size(left_groups) - F.size(right_groups)
-    groups = F.concat(left_groups, F.array_repeat(F.lit("0"), gap), right_groups)
-    return F.array_join(F.slice(groups, 1, 3), ":")
+def _expanded(ip: Column) -> Column:
+    """Valid text with its '::' written out as zero groups."""
+    bare = F.substring_index(ip, "%", 1)
+    groups = F.regexp_count(bare, F.lit("[^:]+")) + bare.contains(".").cast("int")
+    zeros = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.lit(8) - groups))
+    return F.ltrim(F.replace(bare, F.lit("::"), zeros), F.lit(":"))
 
 
 def _prefix_v6(ip: Column) -> Column:
-    text = F.lower(F.substring_index(ip, "%", 1))
-    text = F.when(
-        text.contains("."), F.regexp_replace(text, rf":{_V4}\z", ":0:0")
-    ).otherwise(text)
-    zone_ok = ~ip.contains("%") | (ip.rlike(r"\A[^%]+%[^%]+\z") & ~ip.contains("/"))
-    valid = zone_ok & (text.rlike(_V6_FULL) | (text.contains("::") & text.rlike(_V6_SHORT)))
-    head = F.when(text.rlike(_THREE_GROUPS), F.substring_index(text, ":", 3)).otherwise(
-        _first_groups(text)
-    )
-    head = F.regexp_replace(head, r"(^|:)0+(?=[0-9a-f])", "$1")
-    head = F.regexp_replace(head, r"(?::0)+$", "")
-    head = F.when(head == "0", "").otherwise(head)
-    return F.when(valid, F.concat(head, F.lit("::/48")))
+    valid = ip.rlike(_FULL) | (ip.contains("::") & ip.rlike(_SHORT))
+    body = F.when(ip.rlike(_THREE_GROUPS), ip).otherwise(_expanded(ip))
+    head = F.regexp_replace(F.regexp_replace(body, _HEAD, "$1:$2:$3"), _ZERO_TAIL, "")
+    return F.when(valid, F.concat(F.lower(head), F.lit("::/48")))
 
 
 def _parsed_prefix(ip: Column) -> Column:

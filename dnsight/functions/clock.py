@@ -65,11 +65,11 @@ def from_iso(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     text = text.cast("string")
     has_zone = text.rlike(r"(?i)(z|[+-]\d{2}(:?\d{2})?)\s*$") & text.contains(":")
-    zoned = F.when(has_zone, text).otherwise(F.concat(text, F.lit("Z")))
-    instant = zoned.try_cast("timestamp")
-    return F.timestamp_add(
+    instant = F.when(has_zone, text).try_cast("timestamp")
+    zoned = F.timestamp_add(
         "MICROSECOND", F.unix_micros(instant), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
     )
+    return F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def with_event_time(df: DataFrame, name: str = "dt") -> DataFrame:

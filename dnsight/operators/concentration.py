@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from dnsight.functions import address, clock, names
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where, first_max, percent
-from dnsight.operators.shared import one_row, one_value, running_totals, top_counts, with_rank
+from dnsight.operators.shared import one_value, running_totals, top_counts, with_rank
 from dnsight.operators.temporal import calendar, in_window, minute_metrics, steady_window
 
 SOURCE = "src_ip"
 
 
 def query_prefixes(packets: DataFrame) -> DataFrame:
-    """Queries with the network prefix of their source; a missing source has prefix null."""
-    return packets.where(P.is_query()).withColumn(
-        "prefix", address.network_prefix_or_null(SOURCE)
-    )
+    """Queries with a source address, and the network prefix of it.
+
+    The missing addresses are left out by a test of the address itself. The prefix is then never
+    null, so no null test on it is pushed down and it is computed once per row.
+    """
+    rows = packets.where(P.is_query() & F.col(SOURCE).isNotNull())
+    return rows.withColumn("prefix", address.network_prefix(SOURCE))
 
 
 def total_queries(packets: DataFrame):
@@ -99,17 +102,18 @@ def source_summary(packets: DataFrame, top: int = 10) -> DataFrame:
     Addresses are counted once and then rolled up to prefixes, so there is one shuffle of
     pre-aggregated addresses instead of two distinct counts over the packets.
     """
-    per_ip = packets.where(P.is_query()).groupBy(SOURCE).agg(count_rows().alias("n"))
+    per_ip = packets.where(P.is_query() & F.col(SOURCE).isNotNull()).groupBy(SOURCE).agg(
+        count_rows().alias("n")
+    )
     per_prefix = per_ip.groupBy(address.network_prefix_or_text(SOURCE).alias("prefix")).agg(
-        F.sum("n").alias("n"), F.count(SOURCE).alias("addresses")
+        F.sum("n").alias("n"), count_rows().alias("addresses")
     )
-    known = per_prefix.where(F.col("prefix").isNotNull())
-    largest = known.orderBy(F.desc("n"), F.asc("prefix")).limit(top).agg(F.sum("n").alias("t"))
+    largest = per_prefix.orderBy(F.desc("n"), F.asc("prefix")).limit(top)
+    top_sum = one_value(largest.agg(F.sum("n").alias("t")), "t")
     return per_prefix.agg(
-        F.sum("addresses").alias("distinct_addresses"),
-        F.count("prefix").alias("distinct_prefixes"),
-        percent(F.first(one_value(largest, "t")), F.sum("n")).alias("top_share_pct"),
-    )
+        F.coalesce(F.sum("addresses"), F.lit(0)).alias("distinct_addresses"),
+        count_rows().alias("distinct_prefixes"),
+    ).withColumn("top_share_pct", percent(top_sum, total_queries(packets)))
 
 
 # --- largest source ------------------------------------------------------------------------------
@@ -122,7 +126,7 @@ def top_prefix(packets: DataFrame) -> DataFrame:
 
 def _top_source_queries(packets: DataFrame) -> DataFrame:
     top = one_value(top_prefix(packets), "prefix")
-    return query_prefixes(packets).where(F.col("prefix") == top)
+    return query_prefixes(packets).where(F.col("prefix") == top).drop("prefix")
 
 
 def top_source_domains(packets: DataFrame, limit: int = 5) -> DataFrame:
@@ -146,28 +150,34 @@ def top_source_summary(packets: DataFrame) -> DataFrame:
     top3 = one_value(
         top_source_domains(packets, 3).agg(F.sum("count").alias("t")), "t"
     )
-    return rows.agg(
-        F.first("prefix").alias("prefix"),
-        count_rows().alias("queries"),
-        percent(count_rows(), F.first(total_queries(packets))).alias("share_pct"),
-        percent(count_where(F.col("cd") == 1), count_rows()).alias("cd_pct"),
-        percent(F.first(top3), count_rows(), 0.0).alias("top3_domain_pct"),
+    counts = rows.agg(
+        count_rows().alias("queries"), count_where(F.col("cd") == 1).alias("cd")
+    )
+    return counts.select(
+        one_value(top_prefix(packets), "prefix").alias("prefix"),
+        "queries",
+        percent("queries", total_queries(packets)).alias("share_pct"),
+        percent("cd", "queries").alias("cd_pct"),
+        percent(top3, F.col("queries"), 0.0).alias("top3_domain_pct"),
     )
 
 
 def dominant_domain_source(packets: DataFrame) -> DataFrame:
     """How much of the most queried name comes from the largest source."""
-    rows = query_prefixes(packets).withColumn("domain", names.normalised("qname"))
-    domain = one_value(top_counts(rows, "domain", 1), "domain")
+    named = packets.where(P.is_query() & F.col("qname").isNotNull()).withColumn(
+        "domain", names.normalised("qname")
+    )
+    top = top_counts(named, "domain", 1, "queries")
     prefix = one_value(top_prefix(packets), "prefix")
-    picked = rows.where(F.col("domain") == domain)
-    from_top = count_where(F.col("prefix") == prefix)
-    return picked.agg(
-        F.first("domain").alias("domain"),
-        count_rows().alias("queries"),
-        from_top.alias("queries_from_top"),
-        percent(from_top, count_rows(), 0.0).alias("share_pct"),
+    from_top = F.coalesce(
+        F.col(SOURCE).isNotNull() & (address.network_prefix(SOURCE) == prefix), F.lit(False)
+    )
+    picked = named.where(F.col("domain") == one_value(top, "domain")).agg(
+        count_where(from_top).alias("n")
     )
+    return top.select(
+        "domain", "queries", one_value(picked, "n").alias("queries_from_top"),
+    ).withColumn("share_pct", percent("queries_from_top", "queries", 0.0))
 
 
 # --- sources over time ---------------------------------------------------------------------------
@@ -185,10 +195,11 @@ def top_share_per_minute(packets: DataFrame, steady: str | None = "drop_edges")
     """Share of the overall largest prefix in every steady minute; null where there is no query."""
     window = steady_window(packets, steady)
     top = one_value(top_prefix(packets), "prefix")
-    rows = query_prefixes(packets).where(in_window(window))
+    rows = packets.where(P.is_query() & in_window(window))
     rows = rows.withColumn("minute", clock.minute_bucket("dt"))
+    from_top = F.col(SOURCE).isNotNull() & (address.network_prefix(SOURCE) == top)
     counts = rows.groupBy("minute").agg(
-        count_rows().alias("queries"), count_where(F.col("prefix") == top).alias("top_queries")
+        count_rows().alias("queries"), count_where(from_top).alias("top_queries")
     )
     joined = calendar(window).join(counts, "minute", "left")
     return joined.select(
@@ -245,24 +256,24 @@ def peak_profile(packets: DataFrame, steady: str | None = "drop_edges") -> DataF
     )
     top = top_prefix(packets)
     prefix = one_value(top, "prefix")
-    rows = at_peak(packets, steady).withColumn("prefix", address.network_prefix_or_null(SOURCE))
-    queries = count_where(P.is_query())
-    return rows.agg(
-        F.first(peak).alias("peak_minute"),
+    from_top = F.col(SOURCE).isNotNull() & (address.network_prefix(SOURCE) == prefix)
+    counts = at_peak(packets, steady).agg(
         count_rows().alias("packets"),
-        queries.alias("queries"),
+        count_where(P.is_query()).alias("queries"),
         count_where(P.is_response()).alias("responses"),
         count_where(P.is_nxdomain()).alias("nx"),
-        percent(count_where(P.is_nxdomain()), count_where(P.is_response()), 0.0).alias("nx_rate"),
-        (count_rows() / F.nullif(F.first(one_value(others, "m")), F.lit(0.0))).alias(
-            "ratio_to_median"
-        ),
-        percent(count_where(P.is_query() & (F.col("prefix") == prefix)), queries, 0.0).alias(
-            "top_share_peak_pct"
-        ),
-        percent(F.first(one_value(top, "queries")), F.first(total_queries(packets))).alias(
-            "top_share_overall_pct"
-        ),
+        count_where(P.is_query() & from_top).alias("top_queries"),
+    )
+    return counts.select(
+        peak.alias("peak_minute"),
+        "packets",
+        "queries",
+        "responses",
+        "nx",
+        percent("nx", "responses", 0.0).alias("nx_rate"),
+        (F.col("packets") / F.nullif(one_value(others, "m"), F.lit(0.0))).alias("ratio_to_median"),
+        percent("top_queries", "queries", 0.0).alias("top_share_peak_pct"),
+        percent(one_value(top, "queries"), total_queries(packets)).alias("top_share_overall_pct"),
     )
 
 
@@ -271,7 +282,7 @@ def top_series(
 ) -> DataFrame:
     """Queries per steady minute of the largest prefixes, long form, zero where none came."""
     window = steady_window(packets, steady)
-    counts = minute_source_counts(packets, steady).where(F.col("prefix").isNotNull())
+    counts = minute_source_counts(packets, steady)
     totals = counts.groupBy("prefix").agg(F.sum("queries").alias("total"))
     largest = with_rank(
         totals.orderBy(F.desc("total"), F.asc("prefix")).limit(top),

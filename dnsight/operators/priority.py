@@ -20,14 +20,14 @@ def source_profile(packets: DataFrame, steady: str | None = "drop_edges") -> Dat
     tables. Counting (prefix, minute) first keeps the distinct minutes free of skew.
     """
     window = steady_window(packets, steady)
-    client = F.when(P.is_query(), F.col("src_ip")).when(P.is_response(), F.col("dst_ip"))
-    rows = packets.where(in_window(window)).withColumns(
-        {
-            "prefix": address.network_prefix_or_null(client),
-            "minute": clock.minute_bucket("dt"),
-        }
+    has_client = (P.is_query() & F.col("src_ip").isNotNull()) | (
+        P.is_response() & F.col("dst_ip").isNotNull()
+    )
+    client = F.when(P.is_query(), F.col("src_ip")).otherwise(F.col("dst_ip"))
+    rows = packets.where(in_window(window) & has_client).withColumns(
+        {"prefix": address.network_prefix(client), "minute": clock.minute_bucket("dt")}
     )
-    per_minute = rows.where(F.col("prefix").isNotNull()).groupBy("prefix", "minute").agg(
+    per_minute = rows.groupBy("prefix", "minute").agg(
         count_where(P.is_query()).alias("query"),
         count_where(P.is_response()).alias("responses"),
         count_where(P.is_nxdomain()).alias("nxdomain"),

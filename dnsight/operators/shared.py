@@ -50,6 +50,7 @@ def running_totals(
     offset of the parent is added, so a window never holds more than the children of one group.
     """
     columns = [c for c, _ in tiers]
+    df = df.withColumns({f"total_{t}": F.col(t) for t in totals})
     bases = None
     for depth, (column, direction) in enumerate(tiers):
         parents = [*within, *columns[:depth]]
@@ -58,14 +59,18 @@ def running_totals(
         if last:
             level = df
         else:
-            level = df.groupBy(*keys).agg(*[F.sum(t).alias(t) for t in totals])
+            level = df.groupBy(*keys).agg(
+                *[F.sum(f"total_{t}").alias(f"total_{t}") for t in totals]
+            )
         order = F.asc(column) if direction == "asc" else F.desc(column)
         window = Window.partitionBy(*parents) if parents else Window.partitionBy()
         window = window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         local = [
-            F.coalesce(F.sum(t).over(window), F.lit(0)).alias(f"before_{t}") for t in totals
+            F.coalesce(F.sum(f"total_{t}").over(window), F.lit(0)).alias(f"before_{t}")
+            for t in totals
         ]
-        kept = [F.col(c) for c in (df.columns if last else keys)]
+        columns_left = [c for c in df.columns if c not in {f"total_{t}" for t in totals}]
+        kept = [F.col(c) for c in (columns_left if last else keys)]
         level = level.select(*kept, *local)
         if bases is not None:
             level = level.join(bases, parents, "inner")

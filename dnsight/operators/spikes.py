@@ -172,7 +172,7 @@ def spike_reconciliation(deltas: DataFrame, packets: DataFrame, window: DataFram
                 count_where(F.col("at_peak"))
                 - F.coalesce(
                     count_where(~F.col("at_peak"))
-                    / F.nullif(F.first(one_row(window)["n_minutes"]) - 1, F.lit(0)),
+                    / F.nullif(one_row(window)["n_minutes"] - 1, F.lit(0)),
                     F.lit(0.0),
                 )
             ).alias("net")

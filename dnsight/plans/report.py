@@ -51,8 +51,9 @@ def kpi_cards(
 def _list(df: DataFrame, order: str, *columns) -> Column:
     """Rows of a report-sized frame as an ordered array."""
     item = F.struct(F.col(order).alias("_order"), F.struct(*columns).alias("row"))
-    rows = df.agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    return F.transform(rows.select("rows").scalar(), lambda r: r["row"])
+    ordered = F.array_sort(F.collect_list(item))
+    rows = df.agg(F.transform(ordered, lambda r: r["row"]).alias("rows"))
+    return rows.select("rows").scalar()
 
 
 def report(

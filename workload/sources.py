@@ -436,7 +436,7 @@ ENTRIES = {
         _minute_sources,
         S.query(
             "select minute, src_prefix prefix, count(*) queries from steady where qr = 0"
-            " group by 1, 2",
+            " and src_prefix is not null group by 1, 2",
             S.DROP_EDGES, S.STEADY,
         ),
     ),
