@@ -56,46 +56,47 @@ def _list(df: DataFrame, order: str, *columns) -> Column:
     return rows.select("rows").scalar()
 
 
-def report(
+def build_report(
     packets: DataFrame,
     rules: DataFrame,
-    rollup: DataFrame | None = None,
-    profile: DataFrame | None = None,
     steady: str | None = "drop_edges",
     min_responses: int = 500,
     nx_min_responses: int = 1000,
 ) -> DataFrame:
     """All sections as one row of nested columns; every list is bounded by a limit or the minutes.
 
-    Header statistics come from the small ``rollup`` (``traffic_rollup``), source statistics from
-    ``profile`` (``source_profile``). ``build_report`` stages both first, so the packets are read
-    for these two, the ranking and the decomposition only.
+    The flow runs its steps when called. Each step reads the packets once for the few columns it
+    needs and stages a small table in the shared folder: header counts per minute, the source
+    profile, the ranking, the top series, and the NXDOMAIN counts of the window. The report is then
+    put together from these tables only.
     """
-    rollup = traffic.traffic_rollup(packets) if rollup is None else rollup
-    profile = priority.source_profile(packets, steady) if profile is None else profile
+    rollup = stage(traffic.traffic_rollup(packets))
+    profile = stage(priority.source_profile(packets, steady))
+    pareto = stage(concentration.pareto_top(packets))
+    series = stage(concentration.top_series(packets, steady=steady))
+    window = stage(spikes.spike_window(rollup, steady, weight="n"))
+    counts = stage(spikes.nx_counts(packets, window))
+    metrics = stage(temporal.minute_metrics(rollup, steady, weight="n"))
+    bubbles = stage(priority.bubble_set(profile))
+    labels = stage(
+        priority.extend_labels(
+            pareto.select("prefix", "label"),
+            bubbles.select("prefix").unionByName(series.select("prefix")),
+        )
+    )
 
-    metrics = temporal.minute_metrics(rollup, steady, weight="n")
     summary = one_row(temporal.minute_summary(metrics))
     totals = one_row(traffic.kpis(rollup, any_direction=False, weight="n"))
     span = one_row(rollup.agg(F.min("dt").alias("lo"), F.max("last_dt").alias("hi")))
-    pareto = concentration.pareto_top(packets)
-    bubbles = priority.bubble_set(profile)
-    labels = priority.extend_labels(pareto.select("prefix", "label"), bubbles.select("prefix"))
     load = priority.label_or_text(priority.load_priority(profile), labels)
-    errors = priority.label_or_text(
-        priority.nx_priority(profile, min_responses=nx_min_responses), labels
-    )
+    errors = priority.nx_priority(profile, min_responses=nx_min_responses)
+    errors = priority.label_or_text(errors, labels)
     points = priority.label_or_text(bubbles, labels)
-    series = concentration.top_series(packets, steady=steady)
-    peaks = priority.label_or_text(
-        concentration.series_peaks(series), labels
-    )
-    window = spikes.spike_window(rollup, steady, weight="n")
-    hosts = spikes.top_deltas(spikes.spike_delta(packets, "dst_ip", window), 10, "H")
-    domains = spikes.top_deltas(spikes.spike_delta_domain(packets, rules, window), 5, "R")
-    types = spikes.top_deltas(spikes.spike_delta(packets, "qtype_name", window), 3, "T")
-    net = one_row(spikes.spike_summary(packets, window))
-    coverage = one_row(spikes.nx_coverage(packets, window))
+    peaks = priority.label_or_text(concentration.series_peaks(series), labels)
+    hosts = spikes.top_deltas(spikes.spike_delta(counts, window, "host"), 10, "H")
+    domains = spikes.top_deltas(spikes.spike_delta_domain(counts, window, rules), 5, "R")
+    types = spikes.top_deltas(spikes.spike_delta(counts, window, "qtype"), 3, "T")
+    coverage = one_row(spikes.nx_coverage(counts))
     matrix = traffic.protocol_matrix(rollup, top=5, keep_null_code=False, weight="n")
     truncation = traffic.truncation_by_qtype(rollup, min_responses, weight="n")
     qtypes = traffic.qtype_composition(rollup, weight="n")
@@ -156,7 +157,7 @@ def report(
             ).alias("minutes"),
         ).alias("small_multiples"),
         F.struct(
-            net.alias("summary"),
+            one_row(spikes.spike_summary(counts, window)).alias("summary"),
             _list(hosts, "rank", "label", "delta").alias("hosts"),
             _list(domains, "rank", "label", "delta").alias("domains"),
             _list(types, "rank", F.col("group").alias("qtype"), "delta").alias("qtypes"),
@@ -176,15 +177,3 @@ def report(
             _list(rcodes, "rank", "rcode_name", "count").alias("rcode"),
         ).alias("composition"),
     )
-
-
-def build_report(packets: DataFrame, rules: DataFrame, **options) -> DataFrame:
-    """Stage the two small tables in the shared folder, then assemble the report from them."""
-    steady = options.get("steady", "drop_edges")
-    return report(
-        packets,
-        rules,
-        rollup=stage(traffic.traffic_rollup(packets)),
-        profile=stage(priority.source_profile(packets, steady)),
-        **options,
-    )

@@ -13,7 +13,8 @@ from workload.packets import packets
 
 def _both(spark, sf, peak="packets", steady="drop_edges"):
     rows = packets(spark, sf)
-    return rows, spikes.spike_window(rows, steady, peak)
+    window = spikes.spike_window(rows, steady, peak)
+    return spikes.nx_counts(rows, window), window
 
 
 def _deltas(df):
@@ -21,28 +22,24 @@ def _deltas(df):
 
 
 def _host(spark, sf):
-    rows, window = _both(spark, sf)
-    return _deltas(spikes.spike_delta(rows, "dst_ip", window))
+    return _deltas(spikes.spike_delta(*_both(spark, sf)))
 
 
 def _host_nx_peak(spark, sf):
-    rows, window = _both(spark, sf, "nx")
-    return _deltas(spikes.spike_delta(rows, "dst_ip", window))
+    return _deltas(spikes.spike_delta(*_both(spark, sf, "nx")))
 
 
 def _qtype(spark, sf):
-    rows, window = _both(spark, sf)
-    return _deltas(spikes.spike_delta(rows, "qtype_name", window))
+    return _deltas(spikes.spike_delta(*_both(spark, sf), "qtype"))
 
 
 def _domain(spark, sf):
-    rows, window = _both(spark, sf, "nx")
-    return _deltas(spikes.spike_delta_domain(rows, default_rules(spark), window))
+    return _deltas(spikes.spike_delta_domain(*_both(spark, sf, "nx"), default_rules(spark)))
 
 
 def _all(spark, sf):
-    rows, window = _both(spark, sf, "nx", "full_minutes")
-    return _deltas(spikes.spike_deltas(rows, default_rules(spark), window))
+    both = _both(spark, sf, "nx", "full_minutes")
+    return _deltas(spikes.spike_deltas(*both, default_rules(spark)))
 
 
 _NX_ROWS = (
@@ -63,9 +60,8 @@ def _delta_sql(key, extra=""):
 
 
 def _summary(spark, sf):
-    rows, window = _both(spark, sf, "nx")
     return rounded(
-        spikes.spike_summary(rows, window),
+        spikes.spike_summary(*_both(spark, sf, "nx")),
         "baseline_per_minute", "net_delta", "top2_share_net_pct",
     )
 
@@ -83,9 +79,9 @@ from t"""
 
 
 def _negative(spark, sf):
-    rows, window = _both(spark, sf, "nx")
-    deltas = spikes.spike_delta(rows, "dst_ip", window)
-    return rounded(spikes.spike_reconciliation(deltas, rows, window), "sum_delta", "net_delta")
+    return rounded(
+        spikes.spike_reconciliation(*_both(spark, sf, "nx")), "sum_delta", "net_delta"
+    )
 
 
 _NEGATIVE_SQL = f"""
@@ -99,8 +95,8 @@ from ({_delta_sql('dst_ip')})"""
 
 
 def _coverage(spark, sf):
-    rows, window = _both(spark, sf)
-    return rounded(spikes.nx_coverage(rows, window), "cov5", "cov10")
+    counts, _ = _both(spark, sf)
+    return rounded(spikes.nx_coverage(counts), "cov5", "cov10")
 
 
 _COVERAGE_SQL = """
@@ -111,8 +107,7 @@ from (select c, row_number() over (order by c desc, dst_ip) rk
 
 
 def _top2(spark, sf):
-    rows, window = _both(spark, sf, "nx")
-    top = spikes.top_deltas(spikes.spike_delta(rows, "dst_ip", window), 2, "H")
+    top = spikes.top_deltas(spikes.spike_delta(*_both(spark, sf, "nx")), 2, "H")
     return _deltas(top).withColumn("rank", F.col("rank").cast("bigint"))
 
 
