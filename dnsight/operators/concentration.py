@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dnsight.functions import address, clock, names
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where, first_max, percent
-from dnsight.operators.shared import one_value, running_totals, top_counts, with_rank
+from dnsight.operators.shared import (
+    one_value, ranked_running_total, running_totals, top_counts, with_rank,
+)
 from dnsight.operators.temporal import calendar, in_window, minute_metrics, steady_window
 
 SOURCE = "src_ip"
@@ -24,7 +26,7 @@ def query_prefixes(packets: DataFrame) -> DataFrame:
     return rows.withColumn("prefix", address.network_prefix(SOURCE))
 
 
-def total_queries(packets: DataFrame):
+def total_queries(packets: DataFrame) -> Column:
     """All queries, with or without a source, as a scalar; reads the direction column only."""
     return one_value(packets.where(P.is_query()).agg(count_rows().alias("t")), "t")
 
@@ -64,8 +66,21 @@ def ranking_tiers(counts: DataFrame, key: str, value: str) -> tuple[DataFrame, l
     return tiered, [("magnitude", "desc"), (value, "desc"), ("stem", "asc"), (key, "asc")]
 
 
+def _pareto_columns(
+    ranked: DataFrame, key: str, value: str, rank: Column, before: Column, total: Column
+) -> DataFrame:
+    running = F.round(percent(before + F.col(value), total), 3)
+    return ranked.select(
+        rank.cast("bigint").alias("prefix_rank"),
+        key,
+        value,
+        F.round(percent(value, total), 3).alias("share_pct"),
+        running.alias("cumulative_share_pct"),
+    ).withColumn("is_pareto_top_80", F.col("cumulative_share_pct") <= 80.0)
+
+
 def pareto_full(counts: DataFrame, key: str = "prefix", value: str = "query_count") -> DataFrame:
-    """Complete ranking of pre-counted keys: rank, share, running share, top-80 flag.
+    """Complete ranking of network prefixes: rank, share, running share, top-80 flag.
 
     No window holds the whole ranking: see ``running_totals``.
     """
@@ -73,14 +88,19 @@ def pareto_full(counts: DataFrame, key: str = "prefix", value: str = "query_coun
     total = one_value(known.agg(F.sum(value).alias("t")), "t")
     tiered, tiers = ranking_tiers(known, key, value)
     ranked = running_totals(tiered.withColumn("rows", F.lit(1)), tiers, ["rows", value])
-    cumulative = F.round(percent(F.col(f"before_{value}") + F.col(value), total), 3)
-    return ranked.select(
-        (F.col("before_rows") + 1).cast("bigint").alias("prefix_rank"),
-        key,
-        value,
-        F.round(percent(value, total), 3).alias("share_pct"),
-        cumulative.alias("cumulative_share_pct"),
-    ).withColumn("is_pareto_top_80", F.col("cumulative_share_pct") <= 80.0)
+    return _pareto_columns(
+        ranked, key, value, F.col("before_rows") + 1, F.col(f"before_{value}"), total
+    )
+
+
+def pareto_full_any_key(
+    counts: DataFrame, key: str, value: str = "query_count", partitions: int | None = None
+) -> DataFrame:
+    """As ``pareto_full`` for keys of any shape, such as names; stages the sorted counts."""
+    known = counts.where(F.col(key).isNotNull())
+    ranked = ranked_running_total(known, value, F.desc(value), F.asc(key), partitions=partitions)
+    total = one_value(ranked.agg(F.sum(value).alias("t")), "t")
+    return _pareto_columns(ranked, key, value, F.col("position"), F.col("before"), total)
 
 
 def prefix_counts(packets: DataFrame) -> DataFrame:

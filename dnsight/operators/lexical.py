@@ -158,16 +158,18 @@ def length_histogram(features: DataFrame, bins: int = 60) -> DataFrame:
     )
 
 
-def spearman(features: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:
+def spearman(
+    features: DataFrame, distribution: DataFrame, columns: Sequence[str] = tuple(FEATURES)
+) -> DataFrame:
     """Rank correlation of every pair of features.
 
-    Average ranks belong to values, not to rows: each feature gets a small table of value and rank,
-    and the rows look their ranks up. Pearson on the ranks then needs one aggregation.
+    Average ranks belong to values, not to rows: the value table (``value_distribution`` of the
+    same features, best staged) gives each value its rank, and the rows look their ranks up.
+    Spark broadcasts the tables that are small enough. Pearson on the ranks is one aggregation.
     """
     rows = features.select(*[F.col(c).cast("double").alias(c) for c in columns])
     for c in columns:
-        values = value_distribution(features.select(c), [c])
-        ranks = values.select(
+        ranks = distribution.where(F.col("feature") == c).select(
             F.col("value").alias(c),
             (F.col("before_n") + (F.col("n") + 1) / 2).alias(f"rank_{c}"),
         )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dnsight.sources.storage import stage
+
 
 def one_row(df: DataFrame) -> Column:
     """A one-row frame as a struct value.
@@ -87,6 +89,40 @@ def running_totals(
     raise ValueError("tiers must not be empty")
 
 
+def ranked_running_total(
+    df: DataFrame, value: str, *order: Column, partitions: int | None = None
+) -> DataFrame:
+    """Add ``position`` (from 1) and ``before``, the sum of ``value`` over all earlier rows.
+
+    For any total order, also of free text. The rows are range-partitioned by the order, which
+    splits a hot value by the later keys, and staged, so that their places are fixed. Only one sum
+    per range is then carried over from range to range.
+    """
+    spark = df.sparkSession
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = stage(
+        placed.withColumns(
+            {"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}
+        )
+    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"))
+    bases = sums.select(
+        "part",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base_n"),
+        F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("base_s"),
+    )
+    inside = Window.partitionBy("part").orderBy("place")
+    before = F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    # One row per range: its number is the parameter above.
+    return placed.join(F.broadcast(bases), "part").select(
+        *df.columns,
+        (F.col("base_n") + F.row_number().over(inside)).alias("position"),
+        (F.col("base_s") + F.coalesce(before, F.lit(0))).alias("before"),
+    )
+
+
 def collapse_tail(
     counts: DataFrame, key: str, keep: int, value: str = "count", other: str = "other"
 ) -> DataFrame:

@@ -119,7 +119,7 @@ def minute_metrics(
         *columns,
         percent("nx", "responses", empty_rate).alias("nx_rate"),
         percent("udp_tc", "udp_resp", empty_rate).alias("tc_ratio"),
-    )
+    ).orderBy("minute")
 
 
 def minute_metrics_extended(packets: DataFrame, steady: str | None = "full_minutes") -> DataFrame:
@@ -133,7 +133,7 @@ def minute_metrics_extended(packets: DataFrame, steady: str | None = "full_minut
         percent("udp_tc", "udp_resp").alias("tc_ratio"),
         percent("tcp_packets", "packets").alias("tcp_ratio"),
         (F.col("frame_bytes") / F.lit(1048576.0)).alias("throughput_mib"),
-    )
+    ).orderBy("minute")
 
 
 def minute_summary(metrics: DataFrame) -> DataFrame:

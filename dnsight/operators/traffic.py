@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from dnsight.functions import clock, names
 from dnsight.functions import predicates as P
-from dnsight.functions.measures import count_rows, count_where, first_max, percent
-from dnsight.operators.shared import collapse_tail, one_row, one_value, top_counts, with_rank
+from dnsight.functions.measures import count_rows, count_where, percent
+from dnsight.operators.shared import collapse_tail, one_value, top_counts
 from dnsight.schema import RCODE_NAMES
 
 
@@ -132,7 +132,7 @@ def truncation_by_qtype(
     rate = percent("tc_count", "total_resp")
     return counts.where(F.col("total_resp") >= min_responses).withColumn(
         "tc_rate_pct", F.round(rate, digits) if digits is not None else rate
-    )
+    ).orderBy(F.desc("tc_rate_pct"), F.asc("qtype_name"))
 
 
 def qtype_composition(packets: DataFrame, keep: int = 5, weight: str | None = None) -> DataFrame:

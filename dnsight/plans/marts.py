@@ -27,7 +27,7 @@ def temporal_mart(stg: DataFrame) -> DataFrame:
         F.round(
             percent(count_where(udp & (F.col("is_truncated") == 1)), count_where(udp)), 2
         ).alias("udp_truncation_rate_pct"),
-    )
+    ).orderBy("packet_minute")
 
 
 def pareto_mart(stg: DataFrame) -> DataFrame:
@@ -47,6 +47,10 @@ def protocol_mart(stg: DataFrame, min_responses: int = 10) -> DataFrame:
     return (
         counts.withColumn("qtype_total", total)
         .where(F.col("qtype_total") >= min_responses)
+        .orderBy(
+            F.desc("qtype_total"), F.asc("qtype_name"),
+            F.desc("response_count"), F.asc("response_code"),
+        )
         .select(
             "qtype_name", "response_code", "response_count",
             F.round(percent("response_count", "qtype_total"), 2).alias("row_percentage"),

@@ -78,18 +78,17 @@ def build_report(
     counts = stage(spikes.nx_counts(packets, window))
     metrics = stage(temporal.minute_metrics(rollup, steady, weight="n"))
     bubbles = stage(priority.bubble_set(profile))
-    labels = stage(
-        priority.extend_labels(
-            pareto.select("prefix", "label"),
-            bubbles.select("prefix").unionByName(series.select("prefix")),
-        )
-    )
+    load = priority.load_priority(profile)
+    errors = priority.nx_priority(profile, min_responses=nx_min_responses)
+    shown = bubbles.select("prefix")
+    for part in (load, errors, series):
+        shown = shown.unionByName(part.select("prefix"))
+    labels = stage(priority.extend_labels(pareto.select("prefix", "label"), shown))
 
     summary = one_row(temporal.minute_summary(metrics))
     totals = one_row(traffic.kpis(rollup, any_direction=False, weight="n"))
     span = one_row(rollup.agg(F.min("dt").alias("lo"), F.max("last_dt").alias("hi")))
-    load = priority.label_or_text(priority.load_priority(profile), labels)
-    errors = priority.nx_priority(profile, min_responses=nx_min_responses)
+    load = priority.label_or_text(load, labels)
     errors = priority.label_or_text(errors, labels)
     points = priority.label_or_text(bubbles, labels)
     peaks = priority.label_or_text(concentration.series_peaks(series), labels)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dnsight.functions import names
 from dnsight.operators import lexical
 from dnsight.operators.suffix import default_rules, with_registrable
+from dnsight.sources.storage import stage
 from workload import sqltext as S
 from workload.minutes import rounded
 from workload.packets import packets
@@ -74,7 +75,9 @@ def _thresholds(spark, sf):
 
 
 def _spearman(spark, sf):
-    return rounded(lexical.spearman(_features(spark, sf)), "rho")
+    features = _features(spark, sf)
+    distribution = stage(lexical.value_distribution(features, lexical.FEATURES))
+    return rounded(lexical.spearman(features, distribution), "rho")
 
 
 _RANKS = "ranks as (select " + ", ".join(

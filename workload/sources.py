@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dnsight.functions import address
+from dnsight.functions import address, names
 from dnsight.operators import concentration, priority, temporal
 from dnsight.operators.shared import one_value
 from dnsight.plans import marts, staging
@@ -45,13 +45,11 @@ from (select *, sum(query_count) over () t from pc)"""
 
 
 def _name_pareto(spark, sf):
-    from dnsight.functions import names
-    from dnsight.functions.measures import count_rows
-
-    counts = packets(spark, sf).groupBy(names.normalised("qname").alias("prefix")).agg(
-        count_rows().alias("query_count")
+    named = packets(spark, sf).where(F.col("qname").isNotNull())
+    counts = named.groupBy(names.normalised("qname").alias("prefix")).agg(
+        F.count(F.lit(1)).alias("query_count")
     )
-    return concentration.pareto_full(counts)
+    return concentration.pareto_full_any_key(counts, "prefix")
 
 
 _NAME_COUNTS = (
