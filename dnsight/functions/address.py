@@ -18,6 +18,9 @@ _SHORT = (
     rf"(?i)\A(?!(?:(?:\A|::?){_H}(?=[:%]|\z)){{8}})(?!(?:(?:\A|::?){_H}(?=:)){{6,}}::?{_OCTET}\.)"
     rf"(?:{_H}(?::{_H})*)?::(?:(?:{_H}:)*(?:{_H}|{_V4}))?{_ZONE}\z"
 )
+# The usual form: hex groups only, at most seven around "::"; possessive, so it never backtracks.
+_USUAL = rf"(?i)\A(?:{_H}(?::{_H})*+)?+::(?:{_H}(?::{_H})*+)?+\z"
+_CLEAN_HEAD = r"(?i)\A[1-9a-f][0-9a-f]{0,3}(?::[1-9a-f][0-9a-f]{0,3}){2}\z"
 _THREE_GROUPS = rf"(?i)\A{_H}:{_H}:{_H}:"
 _HEAD = r"(?i)\A0*([0-9a-f]+):0*([0-9a-f]+):0*([0-9a-f]+):.*\z"
 _ZERO_TAIL = r"\A0(?::0)*\z|(?::0)+\z"
@@ -37,9 +40,14 @@ def _expanded(ip: Column) -> Column:
 
 
 def _prefix_v6(ip: Column) -> Column:
-    valid = ip.rlike(_FULL) | (ip.contains("::") & ip.rlike(_SHORT))
+    colons = F.length(ip) - F.length(F.replace(ip, F.lit(":"), F.lit("")))
+    # Up to seven colons mean at most seven groups; eight are left to the exact pattern.
+    usual = (colons <= 7) & ip.rlike(_USUAL)
+    valid = F.when(ip.contains("::"), usual | ip.rlike(_SHORT)).otherwise(ip.rlike(_FULL))
+    first = F.substring_index(ip, ":", 3)
     body = F.when(ip.rlike(_THREE_GROUPS), ip).otherwise(_expanded(ip))
     head = F.regexp_replace(F.regexp_replace(body, _HEAD, "$1:$2:$3"), _ZERO_TAIL, "")
+    head = F.when(first.rlike(_CLEAN_HEAD), first).otherwise(head)
     return F.when(valid, F.concat(F.lower(head), F.lit("::/48")))
 
 

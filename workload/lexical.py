@@ -10,21 +10,26 @@ from dnsight.operators.suffix import default_rules, with_registrable
 from dnsight.sources.storage import stage
 from workload import sqltext as S
 from workload.minutes import rounded
-from workload.packets import packets
+from workload.packets import packets, stored
 
 _INTS = ["qname_len", "num_labels", "longest_label_len", "digit_count", "foreign_char_count"]
 
 
-def _features(spark, sf):
+def _computed_features(spark, sf):
     return lexical.name_features(lexical.distinct_names(packets(spark, sf)))
 
 
+def _features(spark, sf):
+    """Feature table, stored once: most of these operators go over it two or three times."""
+    return stored(spark, "names", sf, lambda: _computed_features(spark, sf))
+
+
 def _long(df, *columns):
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
 
 
 def _table(spark, sf):
-    return _long(_features(spark, sf), *_INTS)
+    return _long(_computed_features(spark, sf), *_INTS)
 
 
 _TABLE_SQL = "select * from feat"

@@ -5,9 +5,14 @@ The same integer arithmetic is written twice, once per engine, so both sides see
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dnsight.sources.storage import fresh_path
+from dnsight.sources.writers import write_parquet
+
 # Fixed values of the derivation (fixture description): capture start and the helper expressions.
 _CAPTURE_START = "2026-08-19 08:00:00"
 
@@ -105,8 +110,8 @@ _DUCK = {
 CAPTURE, SPARSE = 1440, 1
 
 
-def packets(spark: SparkSession, sf_dir: str, slow: int = CAPTURE) -> DataFrame:
-    """Packet rows for Spark; only the columns a query uses are computed and read."""
+def derived_packets(spark: SparkSession, sf_dir: str, slow: int = CAPTURE) -> DataFrame:
+    """Packet rows computed from the events, not stored."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     base = events.withColumn("us", F.expr(_SPARK["us"].format(slow=slow)))
     for name, text in _HELPERS.items():
@@ -114,6 +119,32 @@ def packets(spark: SparkSession, sf_dir: str, slow: int = CAPTURE) -> DataFrame:
     return base.select(*[F.expr(t.format(**_SPARK)).alias(c) for c, t in _COLUMNS.items()])
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(
+    spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """Table kept as Parquet in the shared folder, written once per Spark application."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _STORED:
+        path = fresh_path(spark, name) + ".parquet"
+        write_parquet(build(), path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def packets(spark: SparkSession, sf_dir: str, slow: int = CAPTURE) -> DataFrame:
+    """The packet table as it is in practice: a Parquet table with one column per field.
+
+    All rows of the events are derived once; the queries then read only the columns they use, and
+    their filters reach the scan.
+    """
+    return stored(
+        spark, f"packets-{slow}", sf_dir, lambda: derived_packets(spark, sf_dir, slow)
+    )
+
+
 def sparse_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets(spark, sf_dir, SPARSE)
 
