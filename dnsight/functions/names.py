@@ -16,16 +16,24 @@ def normalised(name: Column | str) -> Column:
 
 
 def entropy(name: Column | str, digits: int = 6) -> Column:
-    """Shannon entropy of the characters in bits, rounded so that summation order has no effect."""
+    """Shannon entropy of the characters in bits, rounded so that summation order has no effect.
+
+    log2(size) - sum(k * log2(k)) / size over the frequency k of each distinct character. The
+    outer ``transform`` evaluates the name once, not once per character.
+    """
     name = _column(name)
-    size = F.length(name).cast("double")
 
-    def add(acc: Column, char: Column) -> Column:
-        share = (size - F.length(F.replace(name, char, F.lit("")))) / size
-        return acc - share * F.log2(share)
+    def weighted(text: Column) -> Column:
+        def add(acc: Column, char: Column) -> Column:
+            k = (F.length(text) - F.length(F.replace(text, char, F.lit("")))).cast("double")
+            return acc + k * F.log2(k)
+
+        total = F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), add)
+        size = F.length(text).cast("double")
+        return F.log2(size) - total / size
 
-    total = F.aggregate(F.array_distinct(F.split(name, "")), F.lit(0.0), add)
-    return F.when(F.length(name) > 0, F.round(total, digits)).when(name.isNotNull(), F.lit(0.0))
+    bits = F.round(F.transform(F.array(name), weighted)[0], digits)
+    return F.when(F.length(name) > 0, F.abs(bits)).when(name.isNotNull(), F.lit(0.0))
 
 
 def label_count(name: Column | str) -> Column:

@@ -160,6 +160,9 @@ def build_report(
             _list(hosts, "rank", "label", "delta").alias("hosts"),
             _list(domains, "rank", "label", "delta").alias("domains"),
             _list(types, "rank", F.col("group").alias("qtype"), "delta").alias("qtypes"),
+            one_row(
+                hosts.agg(F.sum(F.when(F.col("rank") <= 2, F.col("delta"))).alias("top2_delta"))
+            )["top2_delta"].alias("top2_delta"),
             coverage["cov5"].alias("cov5"),
             coverage["cov10"].alias("cov10"),
         ).alias("decomposition"),

@@ -27,9 +27,16 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """Typed CSV scan in one pass; ``mode="FAILFAST"`` refuses values of the wrong type."""
+    return _csv(spark).option("mode", mode).schema(header_schema(spark, path)).csv(path)
+
+
+def read_csv(
+    spark: SparkSession, path: str, limit: int | None = None, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """Typed CSV scan with event time ``dt``; ``limit`` reads that many rows only."""
-    rows = _csv(spark).schema(header_schema(spark, path)).csv(path)
+    rows = scan_csv(spark, path, mode)
     if limit is not None:
         rows = rows.limit(limit)
     return with_event_time(rows)

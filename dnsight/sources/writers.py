@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from dnsight.functions.clock import iso_text
 from dnsight.functions.measures import percent
 from dnsight.operators.shared import one_row
-from dnsight.sources.readers import read_csv_inferred, stored_bytes
+from dnsight.sources.readers import read_csv_inferred, scan_csv, stored_bytes
 
 
 def write_parquet(
@@ -35,9 +35,14 @@ def csv_to_parquet(
     compression: str = "zstd",
     mode: str = "error",
     partition_by: Sequence[str] = (),
+    infer: bool = False,
 ) -> DataFrame:
-    """Convert a CSV file or folder and return the size report."""
-    rows = read_csv_inferred(spark, csv_path)
+    """Convert a CSV file or folder and return the size report.
+
+    The packet columns have known types, so the text is read once. ``infer`` finds the types of
+    foreign tables, at the price of a second pass.
+    """
+    rows = read_csv_inferred(spark, csv_path) if infer else scan_csv(spark, csv_path)
     write_parquet(rows, parquet_path, compression, mode, partition_by)
     return size_report(spark, csv_path, parquet_path)
 

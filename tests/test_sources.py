@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dnsight.operators.suffix import default_rules, read_rules
-from dnsight.plans import report
+from dnsight.plans import flow, report
 from dnsight.sources import generator, readers, storage, writers
 from tests.conftest import SF_SMALL
 from tests.helpers import rows_of, shared_fixture
@@ -47,6 +47,13 @@ def test_short_rows_are_padded(spark, folder):
     assert found == [3, None]
 
 
+def test_wrong_values(spark, folder):
+    path = write(folder, "a.csv", "ts,qr\n0,1\n1,oops\n")
+    assert [r["qr"] for r in readers.read_csv(spark, path).orderBy("ts").collect()] == [1, None]
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        readers.read_csv(spark, path, mode="FAILFAST").collect()
+
+
 def test_reader_errors(spark, folder):
     with pytest.raises(AnalysisException):
         readers.read_packets(spark, os.path.join(folder, "missing.csv"))
@@ -157,3 +164,18 @@ def test_report(spark, folder):
     hosts = found["decomposition"]["hosts"]
     assert [h["label"] for h in hosts] == [f"H{i}" for i in range(1, len(hosts) + 1)]
     assert sum(c["count"] for c in found["composition"]["qtype"]) == found["meta"]["queries"]
+
+
+def test_analyse_a_csv_file(spark, folder):
+    source = os.path.join(folder, "in.csv")
+    sample = generator.sample_packets(spark, 3000).drop("dt")
+    sample.write.option("header", True).csv(source)
+    target = os.path.join(folder, "out")
+    summary = flow.analyse(spark, source, target, fmt="csv", validate=True)
+    assert rows_of(summary) == [{"status": "PASSED", "validated_rows": 3000, "n_failures": 0}]
+    (found,) = rows_of(spark.read.json(target))
+    assert found["meta"]["messages"] == 3000 and found["meta"]["steady_minutes"] == 28
+    flow.analyse(spark, source, target, fmt="csv", limit=500, mode="overwrite")
+    (found,) = rows_of(spark.read.json(target))
+    assert found["meta"]["messages"] == 500
+    assert found["pareto"][0]["label"] == "S1"

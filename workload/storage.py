@@ -84,7 +84,7 @@ def _converted(spark, sf):
 def _sizes(spark, sf):
     source = _write_csv(packets(spark, sf).drop("dt"), spark, "raw")
     path = fresh_path(spark, "sized") + ".parquet"
-    return writers.csv_to_parquet(spark, source, path).drop("output_path")
+    return writers.csv_to_parquet(spark, source, path, infer=True).drop("output_path")
 
 
 def _json(spark, sf):
