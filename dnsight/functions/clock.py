@@ -54,7 +54,7 @@ def iso_text(time: Column | str) -> Column:
 def from_epoch(seconds: Column | str) -> Column:
     """Epoch seconds (double, microsecond precision) as UTC wall time."""
     seconds = F.col(seconds) if isinstance(seconds, str) else seconds
-    micros = F.round(seconds * F.lit(1_000_000.0)).cast("bigint")
+    micros = F.floor(seconds * F.lit(1_000_000.0) + F.lit(0.5))
     return F.timestamp_add(
         "MICROSECOND", micros, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
     )

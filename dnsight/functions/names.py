@@ -19,14 +19,15 @@ def entropy(name: Column | str, digits: int = 6) -> Column:
     """Shannon entropy of the characters in bits, rounded so that summation order has no effect.
 
     log2(size) - sum(k * log2(k)) / size over the frequency k of each distinct character. The
-    outer ``transform`` evaluates the name once, not once per character.
+    outer ``transform`` evaluates the name once, not once per character, and characters that occur
+    once, which are most, need no logarithm.
     """
     name = _column(name)
 
     def weighted(text: Column) -> Column:
         def add(acc: Column, char: Column) -> Column:
-            k = (F.length(text) - F.length(F.replace(text, char, F.lit("")))).cast("double")
-            return acc + k * F.log2(k)
+            k = F.length(text) - F.length(F.replace(text, char, F.lit("")))
+            return F.when(k > 1, acc + k * F.log2(k.cast("double"))).otherwise(acc)
 
         total = F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), add)
         size = F.length(text).cast("double")

@@ -293,14 +293,27 @@ def seeded_sample(found: DataFrame, size: int = 10, seed: int = 42) -> DataFrame
     return found.where("is_selected_charset").select("domain").orderBy(key, "domain").limit(size)
 
 
-def candidate_sources(packets: DataFrame, limits: DataFrame) -> DataFrame:
-    """Sources of the candidate queries beside the sources of all queries, one row."""
+def candidate_query_counts(packets: DataFrame, limits: DataFrame) -> DataFrame:
+    """Queries per source and candidate name; the other names of a source share a null name.
+
+    One scan tests every name once; sources and candidate names are both summed up from here.
+    """
     name = names.normalised("qname")
-    flagged = packets.where(P.is_query()).withColumn(
-        "candidate", is_candidate(name, one_row(limits))
+    candidate = F.when(is_candidate(name, one_row(limits)), name)
+    return packets.where(P.is_query()).groupBy("src_ip", candidate.alias("candidate")).agg(
+        count_rows().alias("n")
     )
-    per_source = flagged.groupBy("src_ip").agg(
-        count_rows().alias("n"), count_where(F.col("candidate")).alias("c")
+
+
+def candidate_sources(counts: DataFrame) -> DataFrame:
+    """Sources of the candidate queries beside the sources of all queries, one row.
+
+    ``counts`` comes from ``candidate_query_counts``, best staged.
+    """
+    is_found = F.col("candidate").isNotNull()
+    per_source = counts.groupBy("src_ip").agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(is_found, F.col("n"))), F.lit(0)).alias("c"),
     )
     known = per_source.where(F.col("src_ip").isNotNull())
 
@@ -308,7 +321,7 @@ def candidate_sources(packets: DataFrame, limits: DataFrame) -> DataFrame:
         top = known.orderBy(F.desc(column), F.asc("src_ip")).limit(5)
         return one_value(top.agg(F.sum(column).alias("t")), "t")
 
-    per_name = flagged.where("candidate").groupBy(name.alias("name")).agg(count_rows().alias("n"))
+    per_name = counts.where(is_found).groupBy("candidate").agg(F.sum("n").alias("n"))
     seen = one_row(
         per_name.agg(
             count_rows().alias("names"), count_where(F.col("n") == 1).alias("once")

@@ -158,7 +158,8 @@ def _limits(spark, sf):
 
 
 def _sources(spark, sf):
-    rows = lexical.candidate_sources(packets(spark, sf), _limits(spark, sf))
+    counts = stage(lexical.candidate_query_counts(packets(spark, sf), _limits(spark, sf)))
+    rows = lexical.candidate_sources(counts)
     return rounded(rows, "candidate_pct", "candidate_top5_pct", "top5_pct")
 
 

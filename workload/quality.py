@@ -98,7 +98,7 @@ union all select 'pareto', 'src_prefix', 0"""
 
 def _unique(spark, sf):
     rows = packets(spark, sf)
-    return quality.unique(rows, "dns_id").select(F.col("dns_id").cast("bigint").alias("dns_id"), "n")
+    return quality.unique(rows, "qname")
 
 
 def _accepted(spark, sf):
@@ -232,7 +232,8 @@ ENTRIES = {
     "q15_unique": (
         _unique,
         S.query(
-            "select dns_id::bigint dns_id, count(*) n from packets group by 1 having count(*) > 1"
+            "select qname, count(*) n from packets where qname is not null group by 1"
+            " having count(*) > 1"
         ),
     ),
     "q16_accepted": (_accepted, S.query(_ACCEPTED_SQL, base=_DIRTY)),
