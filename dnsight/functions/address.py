@@ -9,20 +9,24 @@ UNKNOWN = "UNKNOWN"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
-_H = "[0-9a-f]{1,4}"
+_H = "[0-9a-fA-F]{1,4}"
 _ZONE = r"(?:%[^%/]+)?"
 # Eight groups, where a dotted tail stands for two; \z instead of $, which forgives a final newline.
-_FULL = rf"(?i)\A(?:{_H}:){{6}}(?:{_H}:{_H}|{_V4}){_ZONE}\z"
+_FULL = rf"\A(?:{_H}:){{6}}(?:{_H}:{_H}|{_V4}){_ZONE}\z"
 # At most seven groups around one "::".
 _SHORT = (
-    rf"(?i)\A(?!(?:(?:\A|::?){_H}(?=[:%]|\z)){{8}})(?!(?:(?:\A|::?){_H}(?=:)){{6,}}::?{_OCTET}\.)"
+    rf"\A(?!(?:(?:\A|::?){_H}(?=[:%]|\z)){{8}})(?!(?:(?:\A|::?){_H}(?=:)){{6,}}::?{_OCTET}\.)"
     rf"(?:{_H}(?::{_H})*)?::(?:(?:{_H}:)*(?:{_H}|{_V4}))?{_ZONE}\z"
 )
 # The usual form: hex groups only, at most seven around "::"; possessive, so it never backtracks.
-_USUAL = rf"(?i)\A(?:{_H}(?::{_H})*+)?+::(?:{_H}(?::{_H})*+)?+\z"
-_CLEAN_HEAD = r"(?i)\A[1-9a-f][0-9a-f]{0,3}(?::[1-9a-f][0-9a-f]{0,3}){2}\z"
-_THREE_GROUPS = rf"(?i)\A{_H}:{_H}:{_H}:"
-_HEAD = r"(?i)\A0*([0-9a-f]+):0*([0-9a-f]+):0*([0-9a-f]+):.*\z"
+_USUAL = rf"\A(?:{_H}(?::{_H})*+)?+::(?:{_H}(?::{_H})*+)?+\z"
+# The most frequent form: three leading groups without leading zeros, then anything valid.
+_CLEAN = (
+    rf"\A(?=(?:[1-9a-fA-F][0-9a-fA-F]{{0,3}}:){{3}})"
+    rf"(?:{_H}(?::{_H})*+::(?:{_H}(?::{_H})*+)?+|(?:{_H}:){{7}}{_H})\z"
+)
+_THREE_GROUPS = rf"\A{_H}:{_H}:{_H}:"
+_HEAD = r"\A0*([0-9a-fA-F]+):0*([0-9a-fA-F]+):0*([0-9a-fA-F]+):.*\z"
 _ZERO_TAIL = r"\A0(?::0)*\z|(?::0)+\z"
 
 # The address patterns of the SQL staging model. The class contains the separator, so
@@ -40,15 +44,16 @@ def _expanded(ip: Column) -> Column:
 
 
 def _prefix_v6(ip: Column) -> Column:
+    # Up to seven colons mean at most seven groups around "::", or eight without; an address with
+    # eight colons is left to the exact pattern.
     colons = F.length(ip) - F.length(F.replace(ip, F.lit(":"), F.lit("")))
-    # Up to seven colons mean at most seven groups; eight are left to the exact pattern.
+    clean = (colons <= 7) & ip.rlike(_CLEAN)
     usual = (colons <= 7) & ip.rlike(_USUAL)
     valid = F.when(ip.contains("::"), usual | ip.rlike(_SHORT)).otherwise(ip.rlike(_FULL))
-    first = F.substring_index(ip, ":", 3)
     body = F.when(ip.rlike(_THREE_GROUPS), ip).otherwise(_expanded(ip))
     head = F.regexp_replace(F.regexp_replace(body, _HEAD, "$1:$2:$3"), _ZERO_TAIL, "")
-    head = F.when(first.rlike(_CLEAN_HEAD), first).otherwise(head)
-    return F.when(valid, F.concat(F.lower(head), F.lit("::/48")))
+    whole = F.when(clean, F.substring_index(ip, ":", 3)).when(valid, head)
+    return F.concat(F.lower(whole), F.lit("::/48"))
 
 
 def _parsed_prefix(ip: Column) -> Column:

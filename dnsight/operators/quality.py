@@ -35,14 +35,8 @@ def _passes(value: Column, check: str, low, high) -> Column:
     return value >= low
 
 
-def contract_failures(
-    packets: DataFrame, row_key: str | None = None, contract: Sequence[tuple] = tuple(CONTRACT)
-) -> DataFrame:
-    """One row per broken rule: column, check, failure case and the key of the row.
-
-    All rules are tested in one pass. Values are converted first; a value that cannot be converted
-    and a missing value fail, unless the rule allows null.
-    """
+def _broken_rules(contract: Sequence[tuple]) -> Column:
+    """Array with one entry per broken rule of a row."""
     failures = []
     for column, kind, check, low, high, nullable in contract:
         raw = F.col(column)
@@ -60,24 +54,35 @@ def contract_failures(
                 ),
             )
         )
+    return F.array_compact(F.array(*failures))
+
+
+def contract_failures(
+    packets: DataFrame, row_key: str | None = None, contract: Sequence[tuple] = tuple(CONTRACT)
+) -> DataFrame:
+    """One row per broken rule: column, check, failure case and the key of the row.
+
+    All rules are tested in one pass. Values are converted first; a value that cannot be converted
+    and a missing value fail, unless the rule allows null.
+    """
     keyed = [F.col(row_key)] if row_key else []
-    broken = F.array_compact(F.array(*failures))
-    return packets.select(*keyed, broken.alias("f")).where(F.size("f") > 0).select(
-        *keyed, F.inline("f")
-    )
+    broken = packets.select(*keyed, _broken_rules(contract).alias("f"))
+    return broken.where(F.size("f") > 0).select(*keyed, F.inline("f"))
 
 
-def contract_summary(packets: DataFrame, sample_size: int | None = None) -> DataFrame:
+def contract_summary(
+    packets: DataFrame,
+    sample_size: int | None = None,
+    contract: Sequence[tuple] = tuple(CONTRACT),
+) -> DataFrame:
     """One row: status, validated rows, failures. The whole table unless a sample size is given."""
     rows = packets if sample_size is None else packets.limit(sample_size)
-    failures = contract_failures(rows).agg(count_rows().alias("n"))
-    checked = rows.agg(count_rows().alias("validated_rows"))
-    found = one_value(failures, "n")
-    return checked.select(
-        F.when(found == 0, "PASSED").otherwise("FAILED").alias("status"),
-        "validated_rows",
-        found.alias("n_failures"),
+    counts = rows.select(F.size(_broken_rules(contract)).alias("n")).agg(
+        count_rows().alias("validated_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_failures"),
     )
+    status = F.when(F.col("n_failures") == 0, "PASSED").otherwise("FAILED")
+    return counts.select(status.alias("status"), "validated_rows", "n_failures")
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = tuple(REQUIRED_COLUMNS)) -> DataFrame:

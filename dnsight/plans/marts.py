@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dnsight.functions.measures import count_rows, count_where, percent
 from dnsight.operators import quality
 from dnsight.operators.concentration import pareto_full
+from dnsight.sources.storage import stage
 
 
 def temporal_mart(stg: DataFrame) -> DataFrame:
@@ -58,6 +59,14 @@ def protocol_mart(stg: DataFrame, min_responses: int = 10) -> DataFrame:
     )
 
 
+def build_marts(stg: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compute the temporal, Pareto and protocol marts now, as stored tables.
+
+    Tests and reports on the marts then read these small tables and not the packets.
+    """
+    return stage(temporal_mart(stg)), stage(pareto_mart(stg)), stage(protocol_mart(stg))
+
+
 def not_null_tests(stg: DataFrame, temporal: DataFrame, pareto: DataFrame) -> DataFrame:
     """Failing rows of the eight not-null tests, counted per test; one pass per table."""
 
@@ -89,8 +98,13 @@ def not_null_tests(stg: DataFrame, temporal: DataFrame, pareto: DataFrame) -> Da
     )
 
 
-def data_tests(stg: DataFrame, temporal: DataFrame, pareto: DataFrame, matrix: DataFrame):
-    """All data tests of the marts with the number of failing rows; zero means passed."""
+def data_tests(
+    stg: DataFrame, temporal: DataFrame, pareto: DataFrame, matrix: DataFrame
+) -> DataFrame:
+    """All data tests of the marts with the number of failing rows; zero means passed.
+
+    The marts are used by several tests each, so pass stored ones (``build_marts``).
+    """
 
     def counted(name: str, rows: DataFrame) -> DataFrame:
         return rows.agg(count_rows().alias("failures")).select(F.lit(name).alias("test"), "failures")

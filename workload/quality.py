@@ -143,7 +143,8 @@ def _not_empty(spark, sf):
 
 
 def _data_tests(spark, sf):
-    return marts.data_tests(*_marts(spark, sf, dirty_packets))
+    stg = staging.staged(dirty_packets(spark, sf))
+    return marts.data_tests(stg, *marts.build_marts(stg))
 
 
 _DATA_TESTS_SQL = f"""
