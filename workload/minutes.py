@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dnsight.functions import clock
 from dnsight.operators import temporal, traffic
-from dnsight.operators.shared import one_row
 from workload import sqltext as S
 from workload.packets import SPARSE, packets, sparse_packets
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dnsight.functions import clock
 from dnsight.operators import concentration, priority, quality, spikes, temporal
 from dnsight.plans import marts, staging
 from workload import sqltext as S
 from workload.packets import (
-    dirty_packets, duck_cte, duck_dirty_cte, duck_repeated_cte, packets, repeated_packets,
+    dirty_packets, duck_dirty_cte, duck_repeated_cte, packets, repeated_packets,
 )
 
 _RULES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dnsight.functions import clock
-from dnsight.operators import concentration, temporal
+from dnsight.operators import temporal
 from dnsight.operators.suffix import default_rules
 from dnsight.plans import report
 from dnsight.sources import readers, writers
