@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dnsight.llm import words as W
+from dnsight.sources.storage import stage
 
 WIDTH = 13
 RESULT = (
@@ -161,28 +162,28 @@ def _scan(index):
 FOUND = "n_words long, spans array<struct<begin:long,end:long>>, items array<string>"
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, block_chars: int = 1 << 25, width: int = WIDTH):
-    """doc_id, n_words, spans (begin, end of each window found, in words) and items of every document."""
+def _prepared(docs: DataFrame, benchmark: DataFrame, block_chars: int, width: int):
+    """The documents, and an index for each block of items, broadcast."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    parts = []
+    indexes = []
     for items in _blocks(benchmark, block_chars):
         windows = _windows(items, width)
         vocabulary = np.unique(np.concatenate([w for _, w in windows])) if windows else np.zeros(0, np.uint64)
-        rarity = _counts(rows, vocabulary) if windows else {}
-        # Counts come by place in the vocabulary.
-        rarity = {int(vocabulary[place]): n for place, n in rarity.items()}
-        index = spark.sparkContext.broadcast(_index(windows, rarity))
-        parts.append((rows, index))
-    if len(parts) == 1:
-        return rows.mapInArrow(_scan(parts[0][1]), f"doc_id {kind}, {FOUND}")
-    # With several blocks, each row gets a key by which its findings meet.
-    from dnsight.sources.storage import stage
+        places = _counts(rows, vocabulary) if windows else {}
+        rarity = {int(vocabulary[place]): n for place, n in places.items()}
+        indexes.append(spark.sparkContext.broadcast(_index(windows, rarity)))
+    return rows, indexes
+
 
+def _found(rows: DataFrame, indexes: list) -> DataFrame:
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    if len(indexes) == 1:
+        return rows.mapInArrow(_scan(indexes[0]), f"doc_id {kind}, {FOUND}")
+    # With several blocks, each row gets a key by which its findings meet.
     keyed = stage(rows.withColumn("row", F.expr("uuid()")))
     found = None
-    for _, index in parts:
+    for index in indexes:
         block = keyed.mapInArrow(_scan(index), f"doc_id {kind}, row string, {FOUND}")
         found = block if found is None else found.unionByName(block)
     return found.groupBy("row").agg(
@@ -192,6 +193,11 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, block_chars: int = 1 << 2
     ).drop("row")
 
 
+def occurrences(docs: DataFrame, benchmark: DataFrame, block_chars: int = 1 << 25, width: int = WIDTH):
+    """doc_id, n_words, spans (begin, end of each window found, in words) and items of every document."""
+    return _found(*_prepared(docs, benchmark, block_chars, width))
+
+
 def _summarise(batches):
     for batch in batches:
         out = []
@@ -217,8 +223,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_chars: int = 1 <<
 
     A document is contaminated if at least a twentieth of its words, and at least one, is hit.
     """
-    found = occurrences(docs, benchmark, block_chars, width)
-    kind = found.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(
-        _summarise, f"doc_id {kind}, {RESULT}"
-    )
+    rows, indexes = _prepared(docs, benchmark, block_chars, width)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    if len(indexes) == 1:
+        scan = _scan(indexes[0])
+        return rows.mapInArrow(lambda batches: _summarise(scan(batches)), f"doc_id {kind}, {RESULT}")
+    found = _found(rows, indexes).select("doc_id", "n_words", "spans", "items")
+    return found.mapInArrow(_summarise, f"doc_id {kind}, {RESULT}")

@@ -38,9 +38,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:][: len(column) + 1]
-    data = column.buffers()[2]
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, kind) if offsets is not None else np.zeros(1, kind)
+    offsets = offsets[column.offset:][: len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
@@ -108,9 +111,10 @@ def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `limit` bytes of text, or one row, each."""
-    _, offsets = column_bytes(batch.column(column))
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     first = 0
     while first < batch.num_rows:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit)))
