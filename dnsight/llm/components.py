@@ -11,10 +11,10 @@ from dnsight.sources.storage import stage
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of every node that `links` (a, b) names.
 
-    Each round hooks every node with a smaller neighbour to its smallest one and replaces its other
-    links by links between smaller nodes, so the node leaves the graph; then parents are doubled until
-    they are roots. Tables of a round are written to the shared folder. Null ends and loops are
-    ignored. A node with very many links is one key of a join, which adaptive execution splits.
+    Each round hooks every node with a smaller neighbour to its smallest one. The node leaves the graph:
+    its parent takes its place in all links. When no link is left, parents are doubled until they are
+    roots. Tables of a round are written to the shared folder. Null ends and loops are ignored. A node
+    with very many links is one key of a join, which adaptive execution splits.
     """
     edges = stage(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -25,9 +25,11 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         hooks = stage(edges.groupBy("u").agg(F.min("v").alias("p")))
         forest = hooks if forest is None else forest.unionByName(hooks)
+        above = hooks.select(F.col("u").alias("v"), F.col("p").alias("q"))
         edges = stage(
-            edges.join(hooks, "u").filter("v <> p")
-            .select(F.greatest("v", "p").alias("u"), F.least("v", "p").alias("v")).distinct()
+            edges.join(hooks, "u").filter("v <> p").join(above, "v", "left")
+            .select(F.col("p").alias("a"), F.coalesce("q", "v").alias("b")).filter("a <> b")
+            .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         )
     if forest is None:
         return nodes.withColumn("root", F.col("node"))
