@@ -8,40 +8,48 @@ from pyspark.sql import functions as F
 from dnsight.sources.storage import stage
 
 
+def _compressed(parents: DataFrame) -> DataFrame:
+    """Parents (u, p) doubled until every p is a root, that is no u."""
+    while True:
+        above = parents.select(F.col("u").alias("p"), F.col("p").alias("q"))
+        doubled = stage(
+            parents.join(above, "p", "left")
+            .select("u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
+        )
+        parents = doubled.select("u", "p")
+        if doubled.filter("moved").isEmpty():
+            return parents
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of every node that `links` (a, b) names.
 
-    Each round hooks every node with a smaller neighbour to its smallest one. The node leaves the graph:
-    its parent takes its place in all links. When no link is left, parents are doubled until they are
-    roots. Tables of a round are written to the shared folder. Null ends and loops are ignored. A node
-    with very many links is one key of a join, which adaptive execution splits.
+    Each round hooks every node with a smaller neighbour to its smallest one and follows the hooks down
+    to nodes without one, which take the place of all others in the links. A node is hooked in one
+    round only, so the hooks of all rounds are a forest, which is followed once more at the end. Tables
+    of a round are written to the shared folder. Null ends and loops are ignored. A node with very many
+    links is one key of a join, which adaptive execution splits.
     """
     edges = stage(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter("a is not null and b is not null and u <> v").distinct()
     )
     nodes = edges.select("v").union(edges.select("u")).distinct().withColumnRenamed("v", "node")
-    forest = None
+    forest, rounds = None, 0
     while not edges.isEmpty():
-        hooks = stage(edges.groupBy("u").agg(F.min("v").alias("p")))
-        forest = hooks if forest is None else forest.unionByName(hooks)
-        above = hooks.select(F.col("u").alias("v"), F.col("p").alias("q"))
+        hooks = _compressed(edges.groupBy("u").agg(F.min("v").alias("p")))
+        forest, rounds = hooks if forest is None else forest.unionByName(hooks), rounds + 1
+        low = hooks.select(F.col("u").alias("v"), F.col("p").alias("q"))
+        # Every u is hooked; a v may be.
         edges = stage(
-            edges.join(hooks, "u").filter("v <> p").join(above, "v", "left")
+            edges.join(hooks, "u").join(low, "v", "left")
             .select(F.col("p").alias("a"), F.coalesce("q", "v").alias("b")).filter("a <> b")
             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         )
     if forest is None:
         return nodes.withColumn("root", F.col("node"))
-    while True:
-        above = forest.select(F.col("u").alias("p"), F.col("p").alias("above"))
-        doubled = stage(
-            forest.join(above, "p", "left")
-            .select("u", F.coalesce("above", "p").alias("p"), F.col("above").isNotNull().alias("moved"))
-        )
-        forest = doubled.select("u", "p")
-        if doubled.filter("moved").isEmpty():
-            break
+    if rounds > 1:
+        forest = _compressed(forest)
     return stage(
         nodes.join(forest.withColumnRenamed("u", "node"), "node", "left")
         .select("node", F.coalesce("p", "node").alias("root"))
