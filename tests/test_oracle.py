@@ -6,7 +6,10 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from workload.compare import difference, duck_connection
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# Optional queries have tests of their own.
+ENTRIES = {key: pair for module in entry._MODULES for key, pair in module.ENTRIES.items()}
+QUERIES = {key: run for key, (run, _) in ENTRIES.items()}
+ORACLE = {key: sql for key, (_, sql) in ENTRIES.items() if sql}
 ROWS_ONLY = {"s08_sizes", "k20_report"}
 
 
@@ -19,6 +22,10 @@ def test_every_query_has_an_oracle_but_the_named_ones():
     assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
 
 
+def test_driver_contract():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 28
 
