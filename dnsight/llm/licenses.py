@@ -105,7 +105,9 @@ def build_index(docs: DataFrame, templates=TEMPLATES) -> dict:
     postings = []
     for number, body in enumerate(bodies):
         word = np.searchsorted(vocabulary, body)
-        rarest = sorted(range(len(body)), key=lambda p: (-weight[word[p]], p))[:RARE]
+        # A word that no document holds finds nothing; such words come last.
+        absent = [not held.get(int(w), 0) for w in word]
+        rarest = sorted(range(len(body)), key=lambda p: (absent[p], -weight[word[p]], p))[:RARE]
         postings += [(int(word[p]), number, p) for p in rarest]
     postings = np.array(sorted(postings), np.int64)
     return {

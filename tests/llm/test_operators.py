@@ -146,7 +146,7 @@ def test_tree_follows_edits():
 
 def test_token_counts(spark, odd):
     encoder = Encoder(default_tokenizer())
-    edits = "array(struct(2L as start, 3L as removed, ' new' as inserted), null, struct(null, null, null))"
+    edits = "array(struct(2L as start, 3L as removed, ' new' as inserted), null, struct(cast(null as bigint) as start, cast(null as bigint) as removed, cast(null as string) as inserted))"
     docs = odd.selectExpr("doc_id", "text", "score", f"cast({edits} as {token_counts.EDITS}) as edits")
     rows = token_counts.update_counts(docs, default_tokenizer()).collect()
     assert len(rows) == len(ODD) and all(r.score == 2 for r in rows)
