@@ -110,8 +110,13 @@ def describe(distribution: DataFrame) -> DataFrame:
     """count, mean, std, min, quartiles and max per feature, from the value table alone."""
     n, v = F.col("n"), F.col("value")
     mean = F.sum(v * n) / F.sum("n")
-    spread = F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / F.sum("n")
-    return _with_totals(distribution).groupBy("feature").agg(
+    # Squares are taken about the mean: those of large, close values would cancel out.
+    means = distribution.groupBy("feature").agg(mean.alias("centre"))
+    away = v - F.col("centre")
+    spread = F.sum(away * away * n) - F.sum(away * n) * F.sum(away * n) / F.sum("n")
+    # One row per feature.
+    centred = _with_totals(distribution).join(F.broadcast(means), "feature")
+    return centred.groupBy("feature").agg(
         F.sum("n").alias("count"),
         mean.alias("mean"),
         F.sqrt(F.greatest(spread, F.lit(0.0)) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),

@@ -187,7 +187,9 @@ def extend_labels(labels: DataFrame, prefixes: DataFrame) -> DataFrame:
     ``labels`` has prefix and label (S1, S2, ...), ``prefixes`` has prefix; both are report-sized.
     """
     highest = one_value(
-        labels.agg(F.coalesce(F.max(F.substring("label", 2, 10).cast("int")), F.lit(0)).alias("n")),
+        labels.agg(
+            F.coalesce(F.max(F.expr("try_cast(substring(label, 2) as bigint)")), F.lit(0)).alias("n")
+        ),
         "n",
     )
     new = prefixes.select("prefix").distinct().join(labels, "prefix", "left_anti")

@@ -12,6 +12,7 @@ from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where
 from dnsight.operators.shared import one_row, one_value
 from dnsight.schema import REQUIRED_COLUMNS, TRANSACTION_KEY
+from dnsight.sources.storage import stage
 
 # The packet contract as (column, type, check, lower or allowed, upper, nullable).
 CONTRACT = [
@@ -227,10 +228,11 @@ def duplicate_audit(
 
     Exact copies share their key and rows with equal keys share its hash. So the first step counts
     8-byte hashes, pre-aggregated, and only rows whose hash repeats are grouped by their real
-    values. The wide rows that occur once, nearly all of them, are never shuffled.
+    values. The list of repeated hashes is stored first, so the join with it is planned by its true
+    size: while it is small, the wide rows that occur once are not shuffled.
     """
     hashed = packets.withColumn("key_hash", F.xxhash64(*[F.col(c) for c in key]))
-    repeated = (
+    repeated = stage(
         hashed.groupBy("key_hash").agg(count_rows().alias("n")).where(F.col("n") > 1)
         .select("key_hash")
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dnsight.operators import quality
-from dnsight.operators.suffix import default_rules
 from dnsight.plans.report import build_report
 from dnsight.sources.readers import read_packets
 from dnsight.sources.writers import write_json
@@ -15,25 +14,22 @@ def analyse(
     spark: SparkSession,
     input_path: str,
     output_path: str,
+    rules: DataFrame,
     fmt: str | None = None,
     limit: int | None = None,
     validate: bool = False,
-    rules: DataFrame | None = None,
     mode: str = "error",
+    steady: str | None = "drop_edges",
+    min_responses: int = 500,
 ) -> DataFrame | None:
     """Read packets, build the report and write it as JSON.
 
-    With ``limit`` only that many rows are read; such a sample keeps its edge minutes and needs
-    fewer responses per record type. ``validate`` returns the contract summary; like the report
-    itself it covers every row that was read, and findings do not stop the report.
+    ``rules`` are the public suffix rules (``suffix.read_rules``). With ``limit`` only that many rows
+    are read; such a sample may want ``steady=None`` and a lower ``min_responses``. ``validate``
+    returns the contract summary; like the report itself it covers every row that was read, and
+    findings do not stop the report.
     """
     packets = read_packets(spark, input_path, fmt, limit)
-    sampled = limit is not None
-    report = build_report(
-        packets,
-        default_rules(spark) if rules is None else rules,
-        steady=None if sampled else "drop_edges",
-        min_responses=10 if sampled else 500,
-    )
+    report = build_report(packets, rules, steady=steady, min_responses=min_responses)
     write_json(report, output_path, mode)
     return quality.contract_summary(packets) if validate else None

@@ -28,8 +28,12 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def scan_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Typed CSV scan in one pass; ``mode="FAILFAST"`` refuses values of the wrong type."""
-    return _csv(spark).option("mode", mode).schema(header_schema(spark, path)).csv(path)
+    """Typed CSV scan in one pass; ``mode="FAILFAST"`` refuses values of the wrong type.
+
+    Every file's header has to have the same columns in the same order; others are refused.
+    """
+    reader = _csv(spark).option("mode", mode).option("enforceSchema", False)
+    return reader.schema(header_schema(spark, path)).csv(path)
 
 
 def read_csv(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach: the session's checkpoint setting.
 
-    A folder of our own is chosen only where the session names none, as in local tests.
+    Where the session names none, a local master gets a folder of its own; on a cluster, where other
+    machines would not see that, it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="dnsight-")
+    if folder:
+        return folder
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="dnsight-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -39,10 +39,10 @@ def csv_to_parquet(
 ) -> DataFrame:
     """Convert a CSV file or folder and return the size report.
 
-    The packet columns have known types, so the text is read once. ``infer`` finds the types of
-    foreign tables, at the price of a second pass.
+    The packet columns have known types, so the text is read once, and a value of another type stops
+    the conversion. ``infer`` finds the types of foreign tables, at the price of a second pass.
     """
-    rows = read_csv_inferred(spark, csv_path) if infer else scan_csv(spark, csv_path)
+    rows = read_csv_inferred(spark, csv_path) if infer else scan_csv(spark, csv_path, "FAILFAST")
     write_parquet(rows, parquet_path, compression, mode, partition_by)
     return size_report(spark, csv_path, parquet_path)
 

@@ -171,11 +171,14 @@ def test_analyse_a_csv_file(spark, folder):
     sample = generator.sample_packets(spark, 3000).drop("dt")
     sample.write.option("header", True).csv(source)
     target = os.path.join(folder, "out")
-    summary = flow.analyse(spark, source, target, fmt="csv", validate=True)
+    summary = flow.analyse(spark, source, target, default_rules(spark), fmt="csv", validate=True)
     assert rows_of(summary) == [{"status": "PASSED", "validated_rows": 3000, "n_failures": 0}]
     (found,) = rows_of(spark.read.json(target))
     assert found["meta"]["messages"] == 3000 and found["meta"]["steady_minutes"] == 28
-    flow.analyse(spark, source, target, fmt="csv", limit=500, mode="overwrite")
+    flow.analyse(
+        spark, source, target, default_rules(spark), fmt="csv", limit=500, mode="overwrite",
+        steady=None, min_responses=10,
+    )
     (found,) = rows_of(spark.read.json(target))
     assert found["meta"]["messages"] == 500
     assert found["pareto"][0]["label"] == "S1"
