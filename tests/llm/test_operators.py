@@ -265,6 +265,35 @@ def test_line_dedup(documents):
     assert len(found) >= 0.97 * len(expected)
 
 
+def test_line_links_of_a_large_bucket(spark):
+    """Lines that share a band and are similar are connected, and no others, in a large group of copies."""
+    rng = random.Random(5)
+    words = lambda n: ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(n)]
+    lines = set()
+    for _ in range(2):
+        base = words(60)
+        for k in range(120):
+            copy = [w if rng.random() > k / 400 else words(1)[0] for w in base]
+            lines.add(" ".join(copy[: rng.choice([60, 60, 60, 45, 20])]))
+    lines = sorted(lines)
+    table = spark.createDataFrame([(line,) for line in lines], "line string").withColumn("hash", F.xxhash64("line"))
+    rows = table.select("line", "hash", line_dedup.bands(F.col("line")).alias("keys")).collect()
+    union, sets = Union(), {r.hash: shingled(r.line) for r in rows}
+    for i, r in enumerate(rows):
+        for o in rows[:i]:
+            a, b = sets[r.hash], sets[o.hash]
+            if set(r.keys) & set(o.keys) and len(a & b) >= 0.75 * len(a | b):
+                union.join(r.hash, o.hash)
+    links = line_dedup.line_links(table).collect()
+    found = Union()
+    for a, b in links:
+        assert len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])
+        found.join(a, b)
+    groups = lambda u: sorted(sorted(h for h in sets if u.root(h) == r) for r in {u.root(h) for h in sets})
+    assert groups(found) == groups(union)
+    assert 4 < len(groups(union)) < len(lines)
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == len(ODD) and rows[0].score == 2
