@@ -277,7 +277,8 @@ def test_line_links_of_a_large_bucket(spark):
             lines.add(" ".join(copy[: rng.choice([60, 60, 60, 45, 20])]))
     lines = sorted(lines)
     table = spark.createDataFrame([(line,) for line in lines], "line string").withColumn("hash", F.xxhash64("line"))
-    rows = table.select("line", "hash", line_dedup.bands(F.col("line")).alias("keys")).collect()
+    keys = F.array(*[f"k{j}" for j in range(line_dedup.BANDS)]).alias("keys")
+    rows = table.join(line_dedup.bands(table).select("hash", keys), "hash").collect()
     union, sets = Union(), {r.hash: shingled(r.line) for r in rows}
     for i, r in enumerate(rows):
         for o in rows[:i]:
@@ -305,13 +306,37 @@ def test_line_dedup_of_odd_rows(spark, odd):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
-def test_shingles_and_similarity(spark):
-    a, b = "the quick brown fox", "the quick brown fix"
-    row = spark.createDataFrame([(a, b, "abc", "")], "a string, b string, c string, d string").select(
-        line_dedup.similarity(F.col("a"), F.col("b")).alias("ab"),
-    ).first()
-    x, y = shingled(a), shingled(b)
-    assert row.ab == pytest.approx(len(x & y) / len(x | y))
+LINE_PAIRS = [
+    ("the quick brown fox", "the quick brown fix"), ("abc", "abcd"), ("abc", "abc"), ("abcde", "abcdef"),
+    ("é ñ ü \U0001f600 漢字かな", "é ñ ü \U0001f600 漢字か"), ("aaaaaaaaaaaa", "aaaaaa"), ("x" * 70_000, "x" * 69_999 + "y"),
+]
+
+
+def test_shingles_and_similarity():
+    left, right = (pa.array(column) for column in zip(*LINE_PAIRS))
+    number = {line: k for k, line in enumerate({line for pair in LINE_PAIRS for line in pair})}
+    a, b = (np.array([number[line] for line in column]) for column in zip(*LINE_PAIRS))
+    sizes, alike = line_dedup.likeness(left, right, a, b)
+    for (x, y), size, found in zip(LINE_PAIRS, sizes, alike):
+        p, q = shingled(x), shingled(y)
+        assert size == len(q) and found == len(p & q) / len(p | q)
+
+
+def test_odd_sketches_bound_the_difference():
+    lines = [line for pair in LINE_PAIRS for line in pair]
+    rows = np.unpackbits(line_dedup.sketches(pa.array(lines)).view(np.uint8), axis=1)
+    for x, p in zip(lines, rows):
+        for y, q in zip(lines, rows):
+            assert np.count_nonzero(p != q) <= len(shingled(x) ^ shingled(y))
+
+
+def test_signatures_do_not_depend_on_the_batch():
+    lines = [line for pair in LINE_PAIRS for line in pair] + ["\t a\tb", "\t"]
+    keys, found = line_dedup.signatures(pa.array(lines))
+    assert list(found) == [True] * (len(lines) - 1) + [False]
+    for line, key in zip(lines, keys):
+        alone, _ = line_dedup.signatures(pa.array(["before", line, "after"]).slice(1, 1))
+        assert (alone[0] == key).all()
 
 
 # 5: packing
