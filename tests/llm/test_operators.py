@@ -339,6 +339,33 @@ def test_signatures_do_not_depend_on_the_batch():
         assert (alone[0] == key).all()
 
 
+def planted_pairs(kind, low, high, count=400):
+    """Lines and changed copies of a similarity from `low` to below `high`."""
+    rng, pairs = random.Random(f"{kind} {low}"), []
+    letters = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往" if kind == "spaceless" else "abcdefghijklmnop"
+    sizes = {"short": (20, 60), "middle": (60, 150), "long": (150, 500), "spaceless": (30, 300)}[kind]
+    while len(pairs) < count:
+        line = "".join(rng.choices(letters, k=rng.randint(*sizes)))
+        if kind != "spaceless":
+            line = "".join(" " if rng.random() < 0.18 else c for c in line).strip()
+        copy = list(line)
+        for _ in range(rng.randint(1, max(1, len(line) // 25))):
+            place = rng.randrange(len(copy))
+            copy[place: place + rng.randint(0, 1)] = rng.choice(letters)
+        a, b = shingled(line), shingled("".join(copy))
+        if low <= len(a & b) / len(a | b) < high:
+            pairs.append((line, "".join(copy)))
+    return pairs
+
+
+@pytest.mark.parametrize("kind", ["short", "middle", "long", "spaceless"])
+@pytest.mark.parametrize("low, high, least", [(0.75, 0.8, 0.97), (0.8, 0.9, 0.985)])
+def test_similar_lines_share_a_band(kind, low, high, least):
+    left, right = zip(*planted_pairs(kind, low, high))
+    a, b = (line_dedup.signatures(pa.array(lines))[0] for lines in (left, right))
+    assert (a == b).any(axis=1).mean() >= least
+
+
 # 5: packing
 
 
