@@ -1,14 +1,14 @@
 """Document fingerprints from closed syncmers, in built-in column functions only.
 
-The alphabet is a text's units: runs of up to 16 non-space characters. A k-mer of units is an anchor
-if the smallest of its inner s-mers stands at its first or last place. Whether a k-mer is an anchor
+The alphabet is a text's units: runs of up to 16 non-space characters, and each single character of
+longer runs (scripts without spaces, encoded data). A k-mer of units is an anchor if the smallest of its inner s-mers stands at its first or last place. Whether a k-mer is an anchor
 depends on nothing outside of it, so texts that share a passage share the anchors inside it, whatever
 surrounds the passage, at positions that differ by one constant. The fingerprint is the sorted list
 of the smallest anchor hashes.
 
 Defined cases: null text counts as empty; an empty text has no anchor, an empty fingerprint and
-likeness 1 to another empty one, else 0; a text of fewer than k units has one anchor, its whole
-sequence of units. Other columns of the input are ignored.
+likeness 1 to another empty one, else 0; a text of fewer than k units, or without a k-mer that is an
+anchor, has one anchor, its whole sequence of units. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-UNIT = r"(\S{1,16})"
+#: A whole run, or a character of a longer one: never a piece whose place counts from the start of its run.
+UNIT = r"((?<!\S)\S{1,16}(?!\S)|\S)"
 #: Units per k-mer; an inner s-mer has two units.
 K = 5
 #: Anchor hashes kept in a fingerprint; the likeness of larger anchor sets is estimated from these.
@@ -48,13 +49,14 @@ def anchors(text: Column) -> Column:
                 <= F.least(*[F.get(s, i + j) for j in range(1, K - 2)]),
             ),
         )
-        return F.transform(
+        found = F.transform(
             places,
             lambda i: F.struct(
                 i.alias("position"),
                 F.xxhash64(*[F.get(unit, i + j) for j in range(K)]).alias("hash"),
             ),
         )
+        return _let(found, lambda a: F.when(F.size(a) == 0, short(unit)).otherwise(a))
 
     def short(unit: Column) -> Column:
         return F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(unit).alias("hash")))

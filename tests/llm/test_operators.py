@@ -189,6 +189,26 @@ def test_anchors_are_context_free(spark):
     assert found.shift == 5 and found.n_anchors >= 20
 
 
+def test_anchors_of_text_without_spaces(spark):
+    rng = random.Random(6)
+    for count in (60, 600, 6000):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(count))
+        rows = spark.createDataFrame([(1, text), (2, "一" + text)], "doc_id long, text string")
+        own, shifted = rows.filter("doc_id = 1"), rows.filter("doc_id = 2")
+        n = own.select(F.size(syncmers.anchors(F.col("text")))).first()[0]
+        found = syncmers.matches(own, shifted).filter("shift = 1").first()
+        assert n >= count / 4 and found.n_anchors == n
+        assert syncmers.compare_edits(rows).filter("near_next < 0.85").count() == 0
+
+
+def test_short_different_texts_differ(spark):
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(9**6)}" for _ in range(5 + k % 2)) for k in range(60)]
+    rows = syncmers.compare_edits(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert all(r.fingerprint and r.near_next == 0 for r in rows)
+    assert len({r.fingerprint for r in rows}) == len(texts)
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = syncmers.compare_edits(odd).collect()
     assert len(rows) == len(ODD)
