@@ -31,18 +31,31 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a number `__row` for each row, stored, so that it is the same in every use."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id; rows without an id stay."""
-    classes = stage(jaccard.near_duplicates(docs))
-    extra = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates, that of the smallest id; one without an id only if none has one.
+
+    Repeated rows are near duplicates like others. Texts without a word link with nothing, so their rows stay.
+    """
+    keyed = _keyed(docs)
+    # As ids of the operator, these make the first row of a group its component's id.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    classes = jaccard.near_duplicates(keyed.select(place.alias("doc_id"), "text"))
+    kept = stage(classes.filter("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("__row")))
+    return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark passages don't contaminate."""
-    found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = stage(found.filter("contaminated").select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that benchmark passages don't contaminate, whatever their ids; each is judged by its own text."""
+    keyed = _keyed(docs)
+    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+    found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = stage(found.filter("contaminated").select(F.col("doc_id").alias("__row")))
+    return keyed.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

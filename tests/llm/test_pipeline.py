@@ -62,6 +62,25 @@ def test_stages_on_planted_documents(spark, planted):
     assert ids["packing"] == ids["decontamination"]
 
 
+def test_rows_with_null_and_repeated_ids(spark, planted):
+    random.seed(13)
+    passage = spark.read.parquet(f"{planted}/benchmark.parquet").first().text
+    one, two, three, four = (sentence(40) for _ in range(4))
+    rows = [(1, one), (1, one), (2, one), (None, one), (None, two), (None, two), (3, three), (3, four), (4, ""), (5, None)]
+    table = lambda rows: spark.createDataFrame(
+        [(d, t, "en", "s", None) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    order = lambda rows: sorted(((r[0], r[1]) for r in rows), key=str)
+    kept = corpus_pipeline.keep_one_of_each(spark, table(rows), planted)
+    assert kept.columns == COLUMNS
+    assert order(kept.collect()) == order([(1, one), (None, two), (3, three), (3, four), (4, ""), (5, None)])
+    clean = [(None, one), (6, two), (6, two), (7, three), (None, None)]
+    bad = [(None, passage), (7, passage), (8, passage), (8, passage)]
+    kept = corpus_pipeline.drop_contaminated(spark, table(clean + bad), planted)
+    assert kept.columns == COLUMNS
+    assert order(kept.collect()) == order(clean)
+
+
 def test_run_gives_the_last_stage(spark, planted):
     rows = corpus_pipeline.run(spark, planted).collect()
     expected = stages(spark, planted)["packing"]
