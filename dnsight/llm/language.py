@@ -1,7 +1,8 @@
 """Language of texts by multinomial naive Bayes over hashed character n-grams.
 
-Counts of n-grams (one to four lower-cased characters, hashed into a table of fixed size) are summed by
-Spark per language; the matrix of log probabilities is broadcast, and a batch of texts is scored by
+Counts of n-grams (one to three lower-cased characters, hashed into a table of fixed size) of all labelled
+rows are summed by Spark per language. Languages count as equally likely beforehand (no class prior), so a
+rare one is not held back. The matrix of log probabilities is broadcast, and a batch of texts is scored by
 looking its n-grams up and summing over each text.
 
 Defined cases: null text and text without a letter give `und` with score 0; rows without a language are
@@ -21,8 +22,6 @@ from dnsight.llm import words as W
 
 SIZES = (1, 2, 3)
 BUCKETS = 1 << 16
-#: At most about so many labelled rows are learned from, chosen by a hash of the row.
-SAMPLE = 40_000
 #: More languages than this are an error: the broadcast matrix is BUCKETS times this at most.
 LANGUAGES = 256
 UNKNOWN = "und"
@@ -49,14 +48,10 @@ def _texts(part: pa.RecordBatch) -> list[str]:
     return [(t or "").lower() for t in part.column("text").to_pylist()]
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
+def fit(rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages and log probabilities (bucket by language) of the labelled rows (text, lang)."""
     rows = rows.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null")
-    total = rows.count()
-    if total > sample:
-        part = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30))
-        rows = rows.filter(part < int(sample / total * (1 << 30)))
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -78,10 +73,9 @@ def fit(rows: DataFrame, sample: int = SAMPLE, smoothing: float = 0.5) -> tuple[
             )
 
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket")
-    priors = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(priors) > LANGUAGES:
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect())
+    if len(languages) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    languages = sorted(priors)
     matrix = np.full((BUCKETS, len(languages)), smoothing)
     # One row for each language and bucket: the table has a fixed largest size.
     for row in counts.agg(F.sum("n").alias("n")).toLocalIterator():

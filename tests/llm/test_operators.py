@@ -461,6 +461,17 @@ def test_language_of_held_out_documents(documents):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+def test_rare_languages_among_many_rows(spark):
+    many = spark.range(100_000).selectExpr("concat('the word ', id, ' and the next') as text", "'en' as lang")
+    words = {f"x{k:02d}": "".join(chr(0x4E00 + 40 * k + c) for c in range(30)) for k in range(20)}
+    rare = spark.createDataFrame([(text, lang) for lang, text in words.items()], "text string, lang string")
+    model = language.fit(many.unionByName(rare))
+    assert model[0] == ["en", *sorted(words)]
+    docs = spark.createDataFrame([(lang, text[5:20]) for lang, text in words.items()], "doc_id string, text string")
+    found = language.predict(docs, model, "doc_id string", ["doc_id"]).collect()
+    assert all(r.lang_pred == r.doc_id for r in found)
+
+
 def test_language_of_odd_rows(spark, odd):
     model = language.fit(odd)
     rows = language.predict(odd, model, "doc_id long", ["doc_id"]).collect()
