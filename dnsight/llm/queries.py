@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dnsight.llm import (
-    decontamination, jaccard, language, licenses, line_dedup, packing, quality, sharding, syncmers,
-    token_counts,
+    chat, collocations, decontamination, jaccard, language, licenses, line_dedup, oracles, packing, prefix_trie, quality,
+    sharding, syncmers, token_counts,
 )
 from dnsight.llm.tokens import default_tokenizer
+from dnsight.sources.storage import stage
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
@@ -75,6 +76,24 @@ def _quality(spark, sf):
     return quality.score(docs, quality.fit(docs, _table(spark, sf, "labels")), ["doc_id", "held_out"])
 
 
+def _chat(spark, sf):
+    """All conversations and one whose texts hold control strings, written, read and parsed again."""
+    marks = spark.createDataFrame(
+        [(-7, 0, "user", oracles.MARKS), (-7, 1, "assistant", oracles.MARKS)], "conv_id long, turn long, role string, text string"
+    )
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(marks)
+    pieces = stage(chat.format_turns(turns))
+    return chat.read_back(pieces, stage(chat.examples(pieces)))
+
+
+def _collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
+def _prefix_trie(spark, sf):
+    return prefix_trie.prefix_trie(_table(spark, sf, "conversations"))
+
+
 def _shard_sql() -> str:
     """The placement in SQL; the two filled tables stand as lists of slot owners."""
     lists = {
@@ -104,4 +123,7 @@ ENTRIES = {
     "op8_jaccard": (_jaccard, None),
     "op9_licenses": (_licenses, None),
     "op10_quality": (_quality, None),
+    "op11_chat_examples": (_chat, oracles.CHAT),
+    "op12_collocations": (_collocations, oracles.PHRASES),
+    "op13_prefix_trie": (_prefix_trie, oracles.TRIE),
 }
