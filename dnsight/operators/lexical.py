@@ -11,7 +11,7 @@ from dnsight.functions import names
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where, percent
 from dnsight.operators.shared import one_row, one_value, running_totals, top_counts, with_rank
-from dnsight.operators.suffix import with_registrable
+from dnsight.operators.suffix import SuffixTable, with_registrable
 
 FEATURES = ["qname_len", "num_labels", "longest_label_len", "digit_ratio", "entropy"]
 QUANTILES = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p999": 0.999}
@@ -242,7 +242,7 @@ def parent_domains(found: DataFrame, limit: int = 5) -> DataFrame:
     return top_counts(parents, "parent", limit).withColumn("pct", percent("count", total))
 
 
-def candidate_registrables(found: DataFrame, rules: DataFrame) -> DataFrame:
+def candidate_registrables(found: DataFrame, rules: DataFrame | SuffixTable) -> DataFrame:
     """Candidates inside the selected characters with their registrable domain."""
     return with_registrable(found.where("is_selected_charset").select("domain"), rules, "domain")
 

@@ -11,7 +11,7 @@ from dnsight.functions import clock, names
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_where, first_max, percent
 from dnsight.operators.shared import one_row, one_value, with_rank
-from dnsight.operators.suffix import with_registrable
+from dnsight.operators.suffix import SuffixTable, with_registrable
 from dnsight.operators.temporal import minute_metrics
 
 
@@ -109,7 +109,7 @@ def spike_delta(
     return _deltas(part, window, "key")
 
 
-def spike_delta_domain(counts: DataFrame, window: DataFrame, rules: DataFrame) -> DataFrame:
+def spike_delta_domain(counts: DataFrame, window: DataFrame, rules: DataFrame | SuffixTable) -> DataFrame:
     """As ``spike_delta`` by registrable domain of the names."""
     per_name = counts.where((F.col("dimension") == "name") & F.col("key").isNotNull()).select(
         F.col("key").alias("name"), "peak_count", "other_count"
@@ -120,7 +120,7 @@ def spike_delta_domain(counts: DataFrame, window: DataFrame, rules: DataFrame) -
     return _deltas(per_domain, window, "registrable")
 
 
-def spike_deltas(counts: DataFrame, window: DataFrame, rules: DataFrame) -> DataFrame:
+def spike_deltas(counts: DataFrame, window: DataFrame, rules: DataFrame | SuffixTable) -> DataFrame:
     """All three decompositions with their dimension name."""
     parts = {
         "host": spike_delta(counts, window, "host"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dnsight.operators import quality
+from dnsight.operators.suffix import SuffixTable
 from dnsight.plans.report import build_report
 from dnsight.sources.readers import read_packets
 from dnsight.sources.writers import write_json
@@ -14,7 +15,7 @@ def analyse(
     spark: SparkSession,
     input_path: str,
     output_path: str,
-    rules: DataFrame,
+    rules: DataFrame | SuffixTable,
     fmt: str | None = None,
     limit: int | None = None,
     validate: bool = False,

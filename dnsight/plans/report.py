@@ -11,6 +11,7 @@ from dnsight.functions.measures import (
 )
 from dnsight.operators import concentration, priority, spikes, temporal, traffic
 from dnsight.operators.shared import one_row, one_value, with_rank
+from dnsight.operators.suffix import SuffixTable
 from dnsight.sources.storage import stage
 
 
@@ -58,7 +59,7 @@ def _list(df: DataFrame, order: str, *columns) -> Column:
 
 def build_report(
     packets: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | SuffixTable,
     steady: str | None = "drop_edges",
     min_responses: int = 500,
     nx_min_responses: int = 1000,

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from dnsight.functions import names
 from dnsight.operators import lexical
-from dnsight.operators.suffix import default_rules, with_registrable
+from dnsight.operators.suffix import compile_rules, with_registrable
 from dnsight.sources.storage import stage
 from workload import sqltext as S
 from workload.minutes import rounded
 from workload.packets import packets, stored
+from workload.rules import registered, suffix_rules, suffix_table
 
 _INTS = ["qname_len", "num_labels", "longest_label_len", "digit_count", "foreign_char_count"]
 
@@ -111,7 +112,7 @@ def _parents(spark, sf):
 
 def _registered(spark, sf):
     found = lexical.candidates(_features(spark, sf))
-    return lexical.candidate_registrables(found, default_rules(spark))
+    return lexical.candidate_registrables(found, suffix_table(spark))
 
 
 def _registrable_top(spark, sf):
@@ -124,7 +125,10 @@ def _registrable_structure(spark, sf):
     )
 
 
-_REG = f"reg as (select domain, {S.REGISTRABLE.format('domain')} registrable from valid)"
+_REG = (
+    f"{registered('(select domain as name from valid)')},"
+    " reg as (select name as domain, registrable from registered)"
+)
 _STRUCTURE_SQL = """
 select count(*) candidates, count(distinct registrable) registrables,
   count(*) filter (where domain <> registrable) nested,
@@ -244,9 +248,35 @@ def _escapes(spark, sf):
     return _long(rounded(rows, "loose_pct"), "longest_name")
 
 
+# Names under every kind of derived rule, by event.
+_NAMES_UNDER_RULES = (
+    "concat(case when event_id % 2 = 0 then 'Host.' else '' end, case event_id % 6 when 0 then 'a.' when 1 then '' else 'b.c.' end,"
+    " case event_id % 5 when 0 then concat('r', {k} - {k} % 3) when 1 then concat('e', {k} - {k} % 3 + 2, '.w', {k} - {k} % 3 + 1)"
+    " when 2 then concat('u', user_id, '.w', {k} - {k} % 3 + 1) when 3 then concat('w', {k} - {k} % 3 + 1) else concat('v', {k}, '.zz') end, '.id.')"
+).format(k="(event_id * 7 % 6000)")
+
+
+def _more_names(spark, sf):
+    """Distinct names of the packets, and names derived from the events."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    under = events.select(names.normalised(F.expr(_NAMES_UNDER_RULES)).alias("domain"))
+    return lexical.distinct_names(packets(spark, sf)).unionByName(under).distinct()
+
+
 def _registrable(spark, sf):
-    distinct = lexical.distinct_names(packets(spark, sf))
-    return with_registrable(distinct, default_rules(spark), "domain")
+    return with_registrable(_more_names(spark, sf), suffix_table(spark), "domain")
+
+
+def _registrable_joined(spark, sf):
+    """The same by the join that larger rule tables take."""
+    return with_registrable(_more_names(spark, sf), compile_rules(suffix_rules(spark), most_rules=100), "domain")
+
+
+_REGISTRABLE = S.query(
+    "select name as domain, registrable from registered",
+    f"more as (select name from packets union all select lower(rtrim({_NAMES_UNDER_RULES}, '.')) from events)",
+    registered("more"),
+)
 
 
 def _entropy(spark, sf):
@@ -348,9 +378,7 @@ ENTRIES = {
             S.FEATURES,
         ),
     ),
-    "x08_registrable": (
-        _registrable,
-        S.query(f"select domain, {S.REGISTRABLE.format('domain')} registrable from names", S.NAMES),
-    ),
+    "x08_registrable": (_registrable, _REGISTRABLE),
+    "x08_registrable_joined": (_registrable_joined, _REGISTRABLE),
     "x09_entropy": (_entropy, S.query(_ENTROPY_SQL, S.FEATURES)),
 }

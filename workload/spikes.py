@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dnsight.operators import spikes
-from dnsight.operators.suffix import default_rules
 from workload import sqltext as S
 from workload.minutes import rounded
 from workload.packets import packets
+from workload.rules import registered, suffix_table
 
 
 def _both(spark, sf, peak="packets", steady="drop_edges"):
@@ -34,18 +34,19 @@ def _qtype(spark, sf):
 
 
 def _domain(spark, sf):
-    return _deltas(spikes.spike_delta_domain(*_both(spark, sf, "nx"), default_rules(spark)))
+    return _deltas(spikes.spike_delta_domain(*_both(spark, sf, "nx"), suffix_table(spark)))
 
 
 def _all(spark, sf):
     both = _both(spark, sf, "nx", "full_minutes")
-    return _deltas(spikes.spike_deltas(*both, default_rules(spark)))
+    return _deltas(spikes.spike_deltas(*both, suffix_table(spark)))
 
 
 _NX_ROWS = (
-    "nxr as (select *, minute = (select minute from peak) at_peak, "
-    + S.REGISTRABLE.format("name")
-    + " reg from packets, w where qr = 1 and rcode = 3 and minute between a and b)"
+    registered("packets")
+    + ", nxr as (select packets.*, minute = (select minute from peak) at_peak, registrable as reg"
+    " from w, packets left join registered on registered.name = packets.name"
+    " where qr = 1 and rcode = 3 and minute between a and b)"
 )
 _OTHERS = "(select date_diff('minute', a, b) from w)"
 

@@ -64,8 +64,6 @@ PEAK = "peak as (select minute from dense order by packets desc, minute limit 1)
 NX_PEAK = "peak as (select minute from dense order by nx desc, minute limit 1)"
 STEADY = "steady as (select packets.* from packets, w where packets.minute between a and b)"
 
-REGISTRABLE = r"regexp_extract({0}, '([^.]+\.co\.id|[^.]+\.[^.]+|[^.]+)$')"
-
 PREFIX_COUNTS = (
     "pc as (select src_prefix as prefix, count(*) as query_count from packets"
     " where qr = 0 and src_prefix is not null group by 1)"

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from dnsight.functions import clock
 from dnsight.operators import temporal
-from dnsight.operators.suffix import default_rules
 from dnsight.plans import report
 from dnsight.sources import readers, writers
 from dnsight.sources.storage import fresh_path
 from workload import sqltext as S
 from workload.packets import SPARSE, packets, sparse_packets
+from workload.rules import suffix_table
 
 _READ_BACK = [
     "event_id", "dt", "src_ip", "dst_ip", "src_port", "proto", "qname", "qr", "rcode",
@@ -120,7 +120,7 @@ union all select 'share of S1', printf('%.1f%%', 100e0*(select query_count from
 
 def _report(spark, sf):
     return report.build_report(
-        packets(spark, sf), default_rules(spark), min_responses=100, nx_min_responses=50
+        packets(spark, sf), suffix_table(spark), min_responses=100, nx_min_responses=50
     )
 
 
