@@ -27,9 +27,10 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in columns])
 
 
-def scan_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Typed CSV scan in one pass; ``mode="FAILFAST"`` refuses values of the wrong type.
+def scan_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """Typed CSV scan in one pass; a record of another length or with a value of another type is refused.
 
+    ``mode="PERMISSIVE"`` makes such values null instead; ``quarantine.load_csv`` sets such records aside.
     Every file's header has to have the same columns in the same order; others are refused.
     """
     reader = _csv(spark).option("mode", mode).option("enforceSchema", False)
@@ -37,7 +38,7 @@ def scan_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFr
 
 
 def read_csv(
-    spark: SparkSession, path: str, limit: int | None = None, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str, limit: int | None = None, mode: str = "FAILFAST"
 ) -> DataFrame:
     """Typed CSV scan with event time ``dt``; ``limit`` reads that many rows only."""
     rows = scan_csv(spark, path, mode)

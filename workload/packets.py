@@ -88,6 +88,8 @@ _COLUMNS = {
     "do": "cast(case when h%13<>0 and h%4<>1 then 1 else 0 end as {byte})",
 }
 
+COLUMNS = list(_COLUMNS)
+
 _SPARK = {
     "us": "timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts) div {slow}",
     "dt": f"timestampadd(MICROSECOND, us, timestamp_ntz'{_CAPTURE_START}')",

@@ -7,28 +7,26 @@ from pyspark.sql import functions as F
 from dnsight.functions import clock
 from dnsight.operators import temporal
 from dnsight.plans import report
-from dnsight.sources import readers, writers
+from dnsight.sources import quarantine, readers, writers
 from dnsight.sources.storage import fresh_path
 from workload import sqltext as S
-from workload.packets import SPARSE, packets, sparse_packets
+from workload.packets import COLUMNS, SPARSE, packets, sparse_packets
 from workload.rules import suffix_table
 
-_READ_BACK = [
-    "event_id", "dt", "src_ip", "dst_ip", "src_port", "proto", "qname", "qr", "rcode",
-    "frame_len", "edns_udpsize", "qtype_name",
-]
-_NUMBERS = ["event_id", "src_port", "qr", "rcode", "frame_len", "edns_udpsize"]
+_TEXTS = ["event_type", "proto", "src_ip", "dst_ip", "qname", "qtype_name"]
+_READ_BACK = [c for c in COLUMNS if c not in _TEXTS + ["dt", "ts"]]
 
 
-def _columns(df):
+def _columns(df, *more):
+    """All columns that the packets have, whole numbers in one width."""
     return df.select(
-        *[F.col(c).cast("bigint").alias(c) if c in _NUMBERS else F.col(c) for c in _READ_BACK]
+        *[F.col(f"`{c}`") for c in ("dt", "ts", *_TEXTS, *more)], *[F.col(f"`{c}`").cast("bigint").alias(c) for c in _READ_BACK]
     )
 
 
-_COLUMNS_SQL = "select " + ", ".join(
-    f"{c}::bigint {c}" if c in _NUMBERS else c for c in _READ_BACK
-) + " from packets"
+_COLUMNS_SQL = (
+    "select dt, ts, " + ", ".join(_TEXTS) + ", " + ", ".join(f'"{c}"::bigint as "{c}"' for c in _READ_BACK) + " from packets"
+)
 
 
 def _iso(column="dt"):
@@ -59,7 +57,66 @@ def _csv_literals(spark, sf):
 
 def _csv_iso(spark, sf):
     rows = packets(spark, sf).withColumn("ts_iso", _iso()).drop("dt", "ts")
-    return _columns(readers.read_csv(spark, _write_csv(rows, spark, "iso")))
+    read = readers.read_csv(spark, _write_csv(rows, spark, "iso"))
+    # The file has no epoch seconds; they are those of the event time.
+    seconds = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', dt)") / 1e6
+    return _columns(read.withColumn("ts", seconds))
+
+
+def _mixed_headers(spark, sf):
+    """Files whose headers have other columns in another order."""
+    rows = packets(spark, sf).drop("dt")
+    folder = fresh_path(spark, "mixed")
+    parts = [
+        rows, rows.select(*[f"`{c}`" for c in reversed(rows.columns)]),
+        rows.drop("edns_udpsize", "cd").withColumn("note", F.lit("a, \"b\"")),
+    ]
+    for k, part in enumerate(parts):
+        part.where(F.col("event_id") % 3 == k).write.option("header", True).option("escape", '"').csv(f"{folder}/{k}")
+    return _columns(quarantine.load_csv(spark, folder).good, "note")
+
+
+_MIXED_SQL = (
+    "select * replace (case when event_id % 3 = 2 then null else edns_udpsize end as edns_udpsize,"
+    " case when event_id % 3 = 2 then null else cd end as cd),"
+    f" case when event_id % 3 = 2 then 'a, \"b\"' end as note from ({_COLUMNS_SQL})"
+)
+
+# Which records get which unreadable texts.
+_SPOILED = {"qr": ("event_id%601=0", "two"), "src_port": ("event_id%607=0", "99999999999"), "ts": ("event_id%613=0", "never")}
+
+
+def _spoiled(spark, sf):
+    rows = packets(spark, sf).drop("dt")
+    texts = {
+        c: F.expr(f"case when {when} then '{text}' else cast({c} as string) end") for c, (when, text) in _SPOILED.items()
+    }
+    return quarantine.load_csv(spark, _write_csv(rows.withColumns(texts), spark, "spoiled"))
+
+
+def _bad_values(spark, sf):
+    """Every fault beside its record's id, and every good row without one."""
+    load = _spoiled(spark, sf)
+    faults = load.rejected.select(
+        F.split("record", ",")[0].cast("bigint").alias("event_id"), "column", "text", "reason", (F.col("line") > 1).alias("placed")
+    )
+    none = [F.lit(None).cast("string").alias(c) for c in ("column", "text", "reason")]
+    return faults.unionByName(load.good.select(F.col("event_id").cast("bigint"), *none, F.lit(True).alias("placed")))
+
+
+_FAULTS_SQL = " union all ".join(
+    f"select event_id::bigint as event_id, '{c}' as \"column\", '{text}' as text,"
+    f" 'not a {kind}' as reason, true as placed from packets where {when}"
+    for (c, (when, text)), kind in zip(_SPOILED.items(), ("tinyint", "int", "double"))
+)
+_GOOD = "not (" + " or ".join(when for when, _ in _SPOILED.values()) + ")"
+_BAD_SQL = (
+    f"{_FAULTS_SQL} union all select event_id::bigint, null, null, null, true from packets where {_GOOD}"
+)
+_LOAD_COUNTS_SQL = (
+    f"select count(*) as records, count(*) filter (where {_GOOD}) as good, count(*) filter (where not {_GOOD}) as rejected,"
+    f" (select count(*) from ({_FAULTS_SQL})) as faults from packets"
+)
 
 
 def _csv_inferred(spark, sf):
@@ -126,14 +183,14 @@ def _report(spark, sf):
 
 ENTRIES = {
     "s01_csv_typed": (_csv_typed, S.query(_COLUMNS_SQL)),
+    "s01_mixed_headers": (_mixed_headers, S.query(_MIXED_SQL)),
+    "s01_bad_values": (_bad_values, S.query(_BAD_SQL)),
+    "s01_load_counts": (lambda spark, sf: _spoiled(spark, sf).counts, S.query(_LOAD_COUNTS_SQL)),
     "s02_csv_literals": (
         _csv_literals,
         S.query(
-            _COLUMNS_SQL.replace(
-                " qname,",
-                " case qtype_name when 'TXT' then 'nan' when 'NS' then 'NULL' when 'A' then null"
-                " else qname end qname,",
-            )
+            "select * replace (case qtype_name when 'TXT' then 'nan' when 'NS' then 'NULL' when 'A' then null"
+            f" else qname end as qname) from ({_COLUMNS_SQL})"
         ),
     ),
     "s05_csv_iso": (_csv_iso, S.query(_COLUMNS_SQL)),
