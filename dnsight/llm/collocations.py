@@ -1,9 +1,9 @@
 """Phrase collocations, counted level by level in HAT-tries.
 
-Each task counts the word sequences of its texts in a trie: a few levels of nodes by word id, below them
-hash containers of what follows, which burst into a node once they are large. When a trie holds CAPACITY
-sequences, whole subtrees leave it as sorted runs, the largest first. Runs are shuffled by prefix (a
-sequence without its last word, and a bucket of that) and merged there.
+Each task counts the word sequences of its texts in a trie: a few levels of nodes by the bytes of hashed
+word ids, below them containers of sequences, which burst into a node once they are large. When a trie
+holds CAPACITY sequences, whole subtrees leave it as sorted runs, the largest first. Runs are shuffled by
+prefix (a sequence without its last word, and a bucket of that) and merged there.
 
 Words are counted first, then pairs of frequent words, then triples of frequent pairs: a phrase is as
 frequent as its parts at most, so nothing is lost. What is frequent is known to tasks by a bit filter of
@@ -32,8 +32,8 @@ LONGEST, LEAST = 3, 10
 #: Phrases per language that are returned; a phrase is dropped if a longer one has this share of its occurrences.
 TOP, COVERED = 2000, 0.5
 SCALE = 1_000_000
-#: Sequences of a task's trie, and entries of a container before it bursts.
-CAPACITY, BURST = 1 << 19, 1 << 11
+#: Sequences of a task's trie, those of a container before it bursts, and rows of an Arrow batch.
+CAPACITY, BURST, ROWS = 1 << 21, 1 << 15, 1 << 16
 #: Buckets of a prefix's last words in the shuffle, and parts of a language in the first ranking.
 BUCKETS, PARTS = 64, 64
 #: Bits of the filters that tell which words or pairs are frequent (4 MB).
@@ -48,68 +48,98 @@ _WORD = ~_CUT
 _WORD[list(SPACES)] = False
 
 
-class Node(dict):
-    """A trie node: word id -> node, container, or on the last level a count."""
+def _merged(block: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """The block's distinct sequences in order, their counts added up; of what follows the first of each."""
+    order = np.lexsort(block[width - 1:: -1])
+    keys = [k[order] for k in block[:width]]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    starts = np.flatnonzero(new)
+    if not len(starts):
+        return block
+    counts = np.add.reduceat(block[width][order], starts)
+    return [*[k[starts] for k in keys], counts, *[c[order][starts] for c in block[width + 1:]]]
+
+
+class Container:
+    """Sequences below one trie edge: blocks of columns, merged when as much is new as is merged."""
+
+    def __init__(self, width: int):
+        self.width, self.blocks, self.size, self.merged = width, [], 0, 0
+
+    def add(self, block: list[np.ndarray]) -> None:
+        self.blocks.append(block)
+        self.size += len(block[0])
+
+    def merge(self) -> list[np.ndarray]:
+        block = _merged([np.concatenate(c) for c in zip(*self.blocks)], self.width) if len(self.blocks) > 1 else self.blocks[0]
+        self.blocks, self.size, self.merged = [block], len(block[0]), len(block[0])
+        return block
 
 
 class HatTrie:
-    """Counts of sequences of `width` word ids in a burstable trie."""
+    """Counts of sequences of `width` word ids: a shallow trie of the ids' bytes over burstable containers.
+
+    A node is a dict from a byte to a node or container, from the first byte of the first id on.
+    Blocks are columns: the ids, a count, and anything else of which the first value is kept.
+    """
 
     def __init__(self, width: int, burst: int | None = None):
         self.width, self.burst = width, burst or BURST
-        self.root, self.size, self.sizes = Node(), 0, {}
-
-    def add(self, key: tuple, count: int) -> None:
-        first = key[0]
-        if self.width == 1:
-            self.size += first not in self.root
-            self.root[first] = self.root.get(first, 0) + count
-            return
-        at, rest, parent = self.root.get(first), key[1:], self.root
-        if at is None:
-            at = self.root[first] = {}
-        while type(at) is Node:
-            parent, word, rest = at, rest[0], rest[1:]
-            at = parent.get(word)
-            if at is None:
-                at = parent[word] = {}
-        known = at.get(rest)
-        at[rest] = count + (known or 0)
-        if known is None:
-            self.size += 1
-            self.sizes[first] = self.sizes.get(first, 0) + 1
-            if len(at) > self.burst and len(rest) > 1:
-                parent[key[-len(rest) - 1]] = self._burst(at)
+        self.root, self.size = {}, 0
+
+    def add(self, block: list[np.ndarray]) -> None:
+        if len(block[0]):
+            self._add(self.root, 0, _merged(block, self.width))
+
+    def _add(self, node: dict, level: int, block: list[np.ndarray]) -> None:
+        word, place = divmod(level, 8)
+        byte = (block[word] >> np.uint64(56 - 8 * place)) & np.uint64(255)
+        edges = np.flatnonzero(byte[1:] != byte[:-1]) + 1
+        for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(byte)]):
+            key, part = int(byte[low]), [c[low:high] for c in block]
+            child = node.get(key)
+            if child is None:
+                child = node[key] = Container(self.width)
+            if type(child) is dict:
+                self._add(child, level + 1, part)
+                continue
+            child.add(part)
+            self.size += high - low
+            if child.size > 2 * child.merged + self.burst // 8:
+                self.size -= child.size
+                whole = child.merge()
+                if child.size > self.burst and level + 1 < 8 * self.width:
+                    node[key] = {}
+                    self._add(node[key], level + 1, whole)
+                else:
+                    self.size += child.size
+
+    def _taken(self, child) -> Iterator[list[np.ndarray]]:
+        """The blocks of a subtree in order; the trie forgets them."""
+        if type(child) is dict:
+            for key in sorted(child):
+                yield from self._taken(child[key])
+        else:
+            self.size -= child.size
+            yield child.merge()
 
     @staticmethod
-    def _burst(container: dict) -> Node:
-        """A node with a container for each first word of the container's entries."""
-        node = Node()
-        for rest, count in container.items():
-            node.setdefault(rest[0], {})[rest[1:]] = count
-        return node
-
-    def _entries(self, at, prefix: tuple) -> Iterator[tuple]:
-        if type(at) is Node:
-            for word in sorted(at):
-                yield from self._entries(at[word], (*prefix, word))
-        else:
-            for rest in sorted(at):
-                yield (*prefix, *rest, at[rest])
-
-    def run(self, least_left: int) -> list[tuple]:
-        """Whole subtrees, the largest first, taken out until `least_left` sequences stay; sorted."""
-        if self.width == 1:
-            out = sorted(self.root.items())
-            self.root, self.size = Node(), 0
-            return out
-        taken = []
-        for first in sorted(self.sizes, key=self.sizes.get, reverse=True):
-            if self.size <= least_left:
+    def _held(child) -> int:
+        return sum(map(HatTrie._held, child.values())) if type(child) is dict else child.size
+
+    def run(self, least_left: int) -> list[np.ndarray]:
+        """Whole subtrees, the largest first, taken out until `least_left` sequences stay: columns in order."""
+        sizes, left, keys = {k: self._held(c) for k, c in self.root.items()}, self.size, []
+        for key in sorted(sizes, key=sizes.get, reverse=True):
+            if left <= least_left:
                 break
-            self.size -= self.sizes.pop(first)
-            taken.append(first)
-        return [row for first in sorted(taken) for row in self._entries(self.root.pop(first), (first,))]
+            left -= sizes[key]
+            keys.append(key)
+        blocks = [block for key in sorted(keys) for block in self._taken(self.root.pop(key))]
+        return [np.concatenate(c) for c in zip(*blocks)]
 
 
 def _languages(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -145,53 +175,42 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return W.mix(W.mix(left + np.uint64(3)) + right)
 
 
-def _counted(keys: list[np.ndarray]) -> Iterator[tuple]:
-    """Distinct keys of a batch with their numbers."""
-    whole = keys[0]
-    for more in keys[1:]:
-        whole = _pair(whole, more)
-    _, place, count = np.unique(whole, return_index=True, return_counts=True)
-    columns = [k[place].view(np.int64).tolist() for k in keys]
-    yield from zip(zip(*columns), count.tolist())
-
-
-def _run_batches(rows: list[tuple], width: int) -> Iterator[pa.RecordBatch]:
+def _run_batches(columns: list[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
     names = [*[f"w{k}" for k in range(1, width + 1)], "n"]
-    for at in range(0, len(rows), 1 << 15):
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows[at: at + (1 << 15)])]
-        yield pa.RecordBatch.from_arrays(columns, names)
+    for at in range(0, len(columns[0]) if columns else 0, ROWS):
+        some = [pa.array(c[at: at + ROWS].view(np.int64)) for c in columns]
+        yield pa.RecordBatch.from_arrays(some, names)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """lang, word, id, n of every word of every language."""
 
     def count(batches):
-        names_of, texts = ["lang", "word", "id", "n"], {}
-
-        def spilled(trie):
-            rows = trie.run(0)
-            for at in range(0, len(rows), 1 << 15):
-                some = rows[at: at + (1 << 15)]
-                known = [texts[i] for i, _ in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in known], pa.string()), pa.array([k[1] for k in known], pa.string()),
-                     pa.array([i for i, _ in some], pa.int64()), pa.array([n for _, n in some], pa.int64())], names_of,
-                )
-            texts.clear()
-
-        trie = HatTrie(1)
+        trie, pool, pooled = HatTrie(1), [], 0
+
+        def spilled():
+            columns = trie.run(0)
+            if columns:
+                # The last column says where in the pool a word's language and text are.
+                known = pa.Table.from_batches(pool).take(pa.array(columns.pop()))
+                table = known.append_column("id", pa.array(columns[0].view(np.int64))).append_column("n", pa.array(columns[1]))
+                yield from table.to_batches(max_chunksize=ROWS)
+
         for batch in batches:
             for part in W.slices(batch, "text"):
                 ids, _, data, starts, ends, names, language, row = _words(part)
-                distinct, place, count = np.unique(ids, return_index=True, return_counts=True)
-                lowered = W._LOWER[data].tobytes()
-                for i, at, n in zip(distinct.view(np.int64).tolist(), place.tolist(), count.tolist()):
-                    trie.add((i,), n)
-                    if i not in texts:
-                        texts[i] = (names[language[row[at]]], lowered[starts[at]: ends[at]].decode())
-                if trie.size > CAPACITY // 2:
-                    yield from spilled(trie)
-        yield from spilled(trie)
+                _, place, n = np.unique(ids, return_index=True, return_counts=True)
+                # Words and what is between them take turns.
+                bounds = np.append(np.stack([starts, ends], axis=1).ravel(), len(data)).astype(np.int64)
+                text = pa.LargeStringArray.from_buffers(2 * len(ids), pa.py_buffer(bounds), pa.py_buffer(W._LOWER[data]))
+                found = [pa.array(names, pa.string()).take(pa.array(language[row[place]])), text.take(pa.array(2 * place)).cast(pa.string())]
+                pool.append(pa.RecordBatch.from_arrays(found, ["lang", "word"]))
+                trie.add([ids[place], n, pooled + np.arange(len(place))])
+                pooled += len(place)
+                if pooled > CAPACITY:
+                    yield from spilled()
+                    pool, pooled = [], 0
+        yield from spilled()
 
     runs = docs.mapInArrow(count, "lang string, word string, id long, n long")
     return runs.groupBy("lang", "word", "id").agg(F.sum("n").alias("n"))
@@ -215,8 +234,7 @@ def sequence_counts(docs: DataFrame, width: int, frequent) -> DataFrame:
                 parts = ids if width == 2 else np.append(_pair(ids[:-1], ids[1:]), np.zeros(1, np.uint64))
                 known = _known(bits, parts)
                 at = np.flatnonzero(inside & known[:last] & known[1: last + 1])
-                for key, n in _counted([ids[at + k] for k in range(width)]):
-                    trie.add(key, n)
+                trie.add([*[ids[at + k] for k in range(width)], np.ones(len(at), np.int64)])
                 if trie.size > CAPACITY:
                     yield from _run_batches(trie.run(CAPACITY // 2), width)
         yield from _run_batches(trie.run(0), width)

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def test_small_table(spark):
     assert found(docs) == brute_force(rows)
 
 
-@pytest.mark.parametrize("limits", [(1 << 19, 1 << 11), (60, 4)], ids=["plain", "bursts and runs"])
+@pytest.mark.parametrize("limits", [(1 << 21, 1 << 15), (60, 8)], ids=["plain", "bursts and runs"])
 def test_random_texts(spark, monkeypatch, limits):
     monkeypatch.setattr(collocations, "CAPACITY", limits[0])
     monkeypatch.setattr(collocations, "BURST", limits[1])
@@ -99,18 +100,20 @@ def test_products_beyond_64_bits(spark):
 
 def test_trie_runs_hold_every_sequence_once_and_sorted():
     random.seed(9)
-    trie, counts, runs = collocations.HatTrie(3, burst=5), Counter(), []
-    for _ in range(3000):
-        key = (random.randrange(4), random.randrange(20), random.randrange(9))
-        counts[key] += 2
-        trie.add(key, 2)
+    trie, counts, runs = collocations.HatTrie(3, burst=16), Counter(), []
+    for _ in range(60):
+        keys = [(random.choice([3, 5, 1 << 40, 7 << 60]), random.randrange(20), random.randrange(9)) for _ in range(50)]
+        counts.update({k: 2 * n for k, n in Counter(keys).items()})
+        trie.add([*np.array(keys, np.uint64).T, np.full(len(keys), 2)])
         if trie.size > 300:
             runs.append(trie.run(150))
-    assert any(type(child) is collocations.Node for child in trie.root.values())
+            assert trie.size <= 150
+    assert any(type(child) is dict for child in trie.root.values())
     runs.append(trie.run(0))
     total = Counter()
     for run in runs:
-        assert run == sorted(run) and len({r[:3] for r in run}) == len(run)
-        for *key, n in run:
+        rows = [tuple(r) for r in zip(*[c.tolist() for c in run])]
+        assert rows == sorted(rows) and len({r[:3] for r in rows}) == len(rows)
+        for *key, n in rows:
             total[tuple(key)] += n
-    assert total == counts and trie.size == 0 and not trie.root
+    assert len(runs) > 1 and total == counts and trie.size == 0 and not trie.root
