@@ -37,8 +37,13 @@ def pareto_top(packets: DataFrame, top: int = 10) -> DataFrame:
     The running sum is formed after the limit, over ``top`` rows.
     """
     counts = top_counts(query_prefixes(packets), "prefix", top, "total_query")
+    return pareto_of_top(counts, total_queries(packets))
+
+
+def pareto_of_top(counts: DataFrame, total: Column) -> DataFrame:
+    """As ``pareto_top``, from the already limited counts (prefix, total_query)."""
     ranked = with_rank(counts, F.desc("total_query"), F.asc("prefix"))
-    share = ranked.withColumn("share_pct", percent("total_query", total_queries(packets)))
+    share = ranked.withColumn("share_pct", percent("total_query", total))
     running = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return share.select(
         "rank",
@@ -301,8 +306,11 @@ def top_series(
     packets: DataFrame, top: int = 3, steady: str | None = "drop_edges"
 ) -> DataFrame:
     """Queries per steady minute of the largest prefixes, long form, zero where none came."""
-    window = steady_window(packets, steady)
-    counts = minute_source_counts(packets, steady)
+    return series_of_counts(minute_source_counts(packets, steady), steady_window(packets, steady), top)
+
+
+def series_of_counts(counts: DataFrame, window: DataFrame, top: int = 3) -> DataFrame:
+    """As ``top_series``, from the queries per minute and prefix of the window."""
     totals = counts.groupBy("prefix").agg(F.sum("queries").alias("total"))
     largest = with_rank(
         totals.orderBy(F.desc("total"), F.asc("prefix")).limit(top),

@@ -32,18 +32,23 @@ def source_profile(packets: DataFrame, steady: str | None = "drop_edges") -> Dat
         count_where(P.is_response()).alias("responses"),
         count_where(P.is_nxdomain()).alias("nxdomain"),
     )
-    profile = per_minute.groupBy("prefix").agg(
-        F.sum("query").alias("query"),
-        count_where(F.col("query") > 0).alias("active_minutes"),
-        F.sum("responses").alias("responses"),
-        F.sum("nxdomain").alias("nxdomain"),
-    )
     total = one_value(
         packets.where(in_window(window) & P.is_query() & F.col("src_ip").isNotNull()).agg(
             count_rows().alias("t")
         ),
         "t",
     )
+    return profile_of_minutes(per_minute, total)
+
+
+def profile_of_minutes(per_minute: DataFrame, total: Column) -> DataFrame:
+    """Profile per prefix from its counts (query, responses, nxdomain) per minute, and all queries."""
+    profile = per_minute.groupBy("prefix").agg(
+        F.sum("query").alias("query"),
+        count_where(F.col("query") > 0).alias("active_minutes"),
+        F.sum("responses").alias("responses"),
+        F.sum("nxdomain").alias("nxdomain"),
+    )
     return profile.withColumns(
         {
             "nx_rate_pct": percent("nxdomain", "responses"),

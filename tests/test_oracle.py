@@ -10,7 +10,7 @@ from workload.compare import difference, duck_connection
 ENTRIES = {key: pair for module in entry._MODULES for key, pair in module.ENTRIES.items()}
 QUERIES = {key: run for key, (run, _) in ENTRIES.items()}
 ORACLE = {key: sql for key, (_, sql) in ENTRIES.items() if sql}
-ROWS_ONLY = {"s08_sizes", "k20_report"}
+ROWS_ONLY = {"s08_sizes"}
 
 
 @pytest.fixture(scope="module")

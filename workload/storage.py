@@ -11,7 +11,6 @@ from dnsight.sources import quarantine, readers, writers
 from dnsight.sources.storage import fresh_path
 from workload import sqltext as S
 from workload.packets import COLUMNS, SPARSE, packets, sparse_packets
-from workload.rules import suffix_table
 
 _TEXTS = ["event_type", "proto", "src_ip", "dst_ip", "qname", "qtype_name"]
 _READ_BACK = [c for c in COLUMNS if c not in _TEXTS + ["dt", "ts"]]
@@ -175,12 +174,6 @@ union all select 'share of S1', printf('%.1f%%', 100e0*(select query_count from
   /(select count(*) from packets where qr = 0)), 'full record'"""
 
 
-def _report(spark, sf):
-    return report.build_report(
-        packets(spark, sf), suffix_table(spark), min_responses=100, nx_min_responses=50
-    )
-
-
 ENTRIES = {
     "s01_csv_typed": (_csv_typed, S.query(_COLUMNS_SQL)),
     "s01_mixed_headers": (_mixed_headers, S.query(_MIXED_SQL)),
@@ -210,5 +203,4 @@ ENTRIES = {
         _statistics, S.query('select count(*) as "rows", 33::bigint as "columns" from packets'),
     ),
     "k19_kpi_cards": (_kpi_cards, S.query(_KPI_SQL, S.MINUTES, S.PREFIX_COUNTS, S.TOP_PREFIX)),
-    "k20_report": (_report, None),
 }
