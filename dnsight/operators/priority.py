@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dnsight.functions import address, clock
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where, percent
-from dnsight.operators.shared import one_value, with_rank
+from dnsight.operators.shared import one_value, ranked_running_total, with_rank
 from dnsight.operators.temporal import in_window, steady_window
 
 
@@ -189,7 +189,8 @@ def bubble_label_summary(labels: DataFrame) -> DataFrame:
 def extend_labels(labels: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Keep the known labels; number new prefixes in text order after the highest known number.
 
-    ``labels`` has prefix and label (S1, S2, ...), ``prefixes`` has prefix; both are report-sized.
+    ``labels`` has prefix and label (S1, S2, ...), ``prefixes`` has prefix. The new ones are numbered
+    range by range, so there may be any number of them.
     """
     highest = one_value(
         labels.agg(
@@ -198,8 +199,8 @@ def extend_labels(labels: DataFrame, prefixes: DataFrame) -> DataFrame:
         "n",
     )
     new = prefixes.select("prefix").distinct().join(labels, "prefix", "left_anti")
-    numbered = with_rank(new, F.asc("prefix"), name="n").select(
-        "prefix", F.concat(F.lit("S"), (F.col("n") + highest).cast("string")).alias("label")
+    numbered = ranked_running_total(new.withColumn("one", F.lit(1)), "one", F.asc("prefix")).select(
+        "prefix", F.concat(F.lit("S"), (F.col("position") + highest).cast("string")).alias("label")
     )
     return labels.select("prefix", "label").unionByName(numbered)
 

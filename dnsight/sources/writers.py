@@ -81,9 +81,8 @@ def json_safe(df: DataFrame) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
-    """One JSON document for a report-sized frame; null fields are written."""
-    safe = json_safe(df).coalesce(1)
-    safe.write.mode(mode).option("ignoreNullFields", False).json(path)
+    """JSON lines, one file per partition (so one for a one-row report); null fields are written."""
+    json_safe(df).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def publish(df: DataFrame, name: str, as_table: bool = False, mode: str = "overwrite") -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from dnsight.functions import names
@@ -10,19 +12,19 @@ from dnsight.operators.suffix import compile_rules, with_registrable
 from dnsight.sources.storage import stage
 from workload import sqltext as S
 from workload.minutes import rounded
-from workload.packets import packets, stored
+from workload.packets import duck_wild_cte, packets, stored, wild_packets
 from workload.rules import registered, suffix_rules, suffix_table
 
 _INTS = ["qname_len", "num_labels", "longest_label_len", "digit_count", "foreign_char_count"]
 
 
-def _computed_features(spark, sf):
-    return lexical.name_features(lexical.distinct_names(packets(spark, sf)))
+def _computed_features(spark, sf, source=packets):
+    return lexical.name_features(lexical.distinct_names(source(spark, sf)))
 
 
-def _features(spark, sf):
+def _features(spark, sf, source=packets):
     """Feature table, stored once: most of these operators go over it two or three times."""
-    return stored(spark, "names", sf, lambda: _computed_features(spark, sf))
+    return stored(spark, f"names of {source.__name__}", sf, lambda: _computed_features(spark, sf, source))
 
 
 def _long(df, *columns):
@@ -98,30 +100,30 @@ _SPEARMAN_SQL = " union all ".join(
 )
 
 
-def _candidates(spark, sf):
-    return _long(lexical.candidates(_features(spark, sf)), *_INTS)
+def _candidates(spark, sf, source=packets):
+    return _long(lexical.candidates(_features(spark, sf, source)), *_INTS)
 
 
-def _charset(spark, sf):
-    return rounded(lexical.charset_split(lexical.candidates(_features(spark, sf))), "outside_pct")
+def _charset(spark, sf, source=packets):
+    return rounded(lexical.charset_split(lexical.candidates(_features(spark, sf, source))), "outside_pct")
 
 
-def _parents(spark, sf):
-    return rounded(lexical.parent_domains(lexical.candidates(_features(spark, sf))), "pct")
+def _parents(spark, sf, source=packets):
+    return rounded(lexical.parent_domains(lexical.candidates(_features(spark, sf, source))), "pct")
 
 
-def _registered(spark, sf):
-    found = lexical.candidates(_features(spark, sf))
+def _registered(spark, sf, source=packets):
+    found = lexical.candidates(_features(spark, sf, source))
     return lexical.candidate_registrables(found, suffix_table(spark))
 
 
-def _registrable_top(spark, sf):
-    return rounded(lexical.registrable_top(_registered(spark, sf)), "pct")
+def _registrable_top(spark, sf, source=packets):
+    return rounded(lexical.registrable_top(_registered(spark, sf, source)), "pct")
 
 
-def _registrable_structure(spark, sf):
+def _registrable_structure(spark, sf, source=packets):
     return rounded(
-        lexical.registrable_structure(_registered(spark, sf)), "top1_pct", "top5_pct"
+        lexical.registrable_structure(_registered(spark, sf, source)), "top1_pct", "top5_pct"
     )
 
 
@@ -140,8 +142,8 @@ select count(*) candidates, count(distinct registrable) registrables,
 from reg"""
 
 
-def _audit(spark, sf):
-    rows = lexical.audit_examples(lexical.candidates(_features(spark, sf)))
+def _audit(spark, sf, source=packets):
+    rows = lexical.audit_examples(lexical.candidates(_features(spark, sf, source)))
     return _long(rows, "qname_len")
 
 
@@ -153,16 +155,16 @@ union all
  where not is_selected_charset order by domain limit 3)"""
 
 
-def _sample(spark, sf):
-    return lexical.seeded_sample(lexical.candidates(_features(spark, sf)))
+def _sample(spark, sf, source=packets):
+    return lexical.seeded_sample(lexical.candidates(_features(spark, sf, source)))
 
 
-def _limits(spark, sf):
-    return lexical.thresholds(_features(spark, sf))
+def _limits(spark, sf, source=packets):
+    return lexical.thresholds(_features(spark, sf, source))
 
 
-def _sources(spark, sf):
-    counts = stage(lexical.candidate_query_counts(packets(spark, sf), _limits(spark, sf)))
+def _sources(spark, sf, source=packets):
+    counts = stage(lexical.candidate_query_counts(source(spark, sf), _limits(spark, sf, source)))
     rows = lexical.candidate_sources(counts)
     return rounded(rows, "candidate_pct", "candidate_top5_pct", "top5_pct")
 
@@ -183,8 +185,8 @@ select (select count(*) from cq) candidate_queries,
 from packets where qr = 0"""
 
 
-def _nx_share(spark, sf):
-    rows = lexical.candidate_nx_share(packets(spark, sf), _limits(spark, sf))
+def _nx_share(spark, sf, source=packets):
+    rows = lexical.candidate_nx_share(source(spark, sf), _limits(spark, sf, source))
     return rounded(rows, "candidate_pct")
 
 
@@ -200,8 +202,8 @@ select 'host', dst_ip, count(*), count(*) filter (where c),
   round(100e0*count(*) filter (where c)/count(*), 6) from nf group by dst_ip"""
 
 
-def _hosts(spark, sf):
-    return lexical.host_audit(packets(spark, sf), _limits(spark, sf), min_responses=6)
+def _hosts(spark, sf, source=packets):
+    return lexical.host_audit(source(spark, sf), _limits(spark, sf, source), min_responses=6)
 
 
 def _host_audit(spark, sf):
@@ -216,9 +218,9 @@ _HOSTS = """hosts as (select dst_ip, count(*) responses, count(*) filter (where
 from packets where qr = 1 and dst_ip is not null group by 1 having count(*) >= 6)"""
 
 
-def _bridge(spark, sf):
+def _bridge(spark, sf, source=packets):
     return rounded(
-        lexical.bridge_test(_hosts(spark, sf)), "max_pct", "top_nx_rate_min", "top_nx_rate_max"
+        lexical.bridge_test(_hosts(spark, sf, source)), "max_pct", "top_nx_rate_min", "top_nx_rate_max"
     )
 
 
@@ -295,33 +297,11 @@ _ENTROPY_SQL = (
     " from packets left join feat on name = domain"
 )
 
-ENTRIES = {
-    "k36_lexical": (_table, S.query(_TABLE_SQL, S.FEATURES)),
-    "k37_describe": (_describe, S.query(_DESCRIBE_SQL, S.FEATURES)),
-    "k38_tld": (
-        _tld,
-        S.query(
-            "select tld, count(*) count, round(100e0*count(*)/(select count(*) from feat), 6) pct"
-            " from feat group by 1 order by count(*) desc, 1 limit 5",
-            S.FEATURES,
-        ),
-    ),
-    "k39_percentiles": (_percentiles, S.query(_PERCENTILES_SQL, S.FEATURES)),
-    "k39_thresholds": (
-        _thresholds,
-        S.query(
-            "select round(quantile_cont(qname_len::double, 0.999), 6) p999_len,"
-            " round(quantile_cont(longest_label_len::double, 0.999), 6) p999_label,"
-            " round(quantile_cont(entropy, 0.99), 6) p99_entropy,"
-            " round(quantile_cont(qname_len::double, 0.95), 6) p95_len from feat",
-            S.FEATURES,
-        ),
-    ),
-    "k40_spearman": (_spearman, S.query(_SPEARMAN_SQL, S.FEATURES, _RANKS)),
-    "k41_candidates": (_candidates, S.query("select * from cand", S.CANDIDATES)),
+_CANDIDATE_QUERIES = {
+    "k41_candidates": (_candidates, ("select * from cand", S.CANDIDATES)),
     "k41_charset": (
         _charset,
-        S.query(
+        (
             "select count(*) candidates, count(*) filter (where is_selected_charset) in_charset,"
             " count(*) filter (where not is_selected_charset) outside_charset,"
             " round(100e0*count(*) filter (where not is_selected_charset)/nullif(count(*), 0), 6)"
@@ -331,7 +311,7 @@ ENTRIES = {
     ),
     "k42_parents": (
         _parents,
-        S.query(
+        (
             "select regexp_extract(domain, '([^.]+\\.[^.]+|[^.]+)$') parent, count(*) count,"
             " round(100e0*count(*)/(select count(*) from valid), 6) pct from valid"
             " group by 1 order by count(*) desc, 1 limit 5",
@@ -340,24 +320,56 @@ ENTRIES = {
     ),
     "k43_registrable": (
         _registrable_top,
-        S.query(
+        (
             "select registrable, count(*) count,"
             " round(100e0*count(*)/(select count(*) from reg), 6) pct from reg"
             " group by 1 order by count(*) desc, 1 limit 5",
             S.CANDIDATES, _REG,
         ),
     ),
-    "k43_structure": (_registrable_structure, S.query(_STRUCTURE_SQL, S.CANDIDATES, _REG)),
-    "k44_audit": (_audit, S.query(_AUDIT_SQL, S.CANDIDATES)),
-    "k45_sources": (_sources, S.query(_SOURCES_SQL, S.CANDIDATES, _CQ)),
+    "k43_structure": (_registrable_structure, (_STRUCTURE_SQL, S.CANDIDATES, _REG)),
+    "k44_audit": (_audit, (_AUDIT_SQL, S.CANDIDATES)),
+    "k45_sources": (_sources, (_SOURCES_SQL, S.CANDIDATES, _CQ)),
     "k46_sample": (
         _sample,
-        S.query(
+        (
             "select domain from valid order by md5('42:' || domain), domain limit 10",
             S.CANDIDATES,
         ),
     ),
-    "k47_nx_share": (_nx_share, S.query(_NX_SHARE_SQL, S.CANDIDATES, _NX_FLAG)),
+    "k47_nx_share": (_nx_share, (_NX_SHARE_SQL, S.CANDIDATES, _NX_FLAG)),
+    "k49_bridge": (_bridge, (_BRIDGE_SQL, S.CANDIDATES, _HOSTS)),
+}
+
+ENTRIES = {
+    **{key: (run, S.query(*parts)) for key, (run, parts) in _CANDIDATE_QUERIES.items()},
+    # The derived names have few unusual ones among them; these packets have many.
+    **{
+        f"{key}_wild": (partial(run, source=wild_packets), S.query(*parts, base=duck_wild_cte()))
+        for key, (run, parts) in _CANDIDATE_QUERIES.items()
+    },
+    "k36_lexical": (_table, S.query(_TABLE_SQL, S.FEATURES)),
+    "k37_describe": (_describe, S.query(_DESCRIBE_SQL, S.FEATURES)),
+    "k38_tld": (
+        _tld,
+        S.query(
+            "select tld, count(*) count, round(100e0*count(*)/(select count(*) from feat), 6) pct"
+            " from feat group by 1 order by count(*) desc, 1 limit 5",
+            S.FEATURES,
+        ),
+    ),
+    "k39_percentiles": (_percentiles, S.query(_PERCENTILES_SQL, S.FEATURES)),
+    "k39_thresholds": (
+        _thresholds,
+        S.query(
+            "select round(quantile_cont(qname_len::double, 0.999), 6) p999_len,"
+            " round(quantile_cont(longest_label_len::double, 0.999), 6) p999_label,"
+            " round(quantile_cont(entropy, 0.99), 6) p99_entropy,"
+            " round(quantile_cont(qname_len::double, 0.95), 6) p95_len from feat",
+            S.FEATURES,
+        ),
+    ),
+    "k40_spearman": (_spearman, S.query(_SPEARMAN_SQL, S.FEATURES, _RANKS)),
     "k48_host_audit": (
         _host_audit,
         S.query(
@@ -366,7 +378,6 @@ ENTRIES = {
             S.CANDIDATES, _HOSTS,
         ),
     ),
-    "k49_bridge": (_bridge, S.query(_BRIDGE_SQL, S.CANDIDATES, _HOSTS)),
     "k60_histogram": (_histogram, S.query(_HISTOGRAM_SQL, S.FEATURES)),
     "k69_escapes": (
         _escapes,

@@ -28,6 +28,13 @@ def _minutes_all(spark, sf):
     return rounded(rows, "nx_rate", "tc_ratio")
 
 
+def _any_direction(spark, sf):
+    """NXDOMAIN by the code alone; some queries carry it, too."""
+    code = F.when(F.expr("qr = 0 and event_id % 10 = 0"), F.lit(3)).otherwise(F.col("rcode"))
+    rows = packets(spark, sf).withColumn("rcode", code)
+    return rounded(temporal.minute_metrics(rows, any_direction=True), "nx_rate", "tc_ratio")
+
+
 def _metrics_sql(empty: str = "0") -> str:
     return (
         f"select {', '.join(_BASE)}, coalesce({S.pct('nx', 'responses')}, {empty}) nx_rate,"
@@ -150,6 +157,13 @@ _WINDOW_CTES = ", ".join(
 
 ENTRIES = {
     "k01_minute_metrics": (_minutes, S.query(_metrics_sql(), S.MINUTES)),
+    "k01_any_direction": (
+        _any_direction,
+        S.query(
+            _metrics_sql(),
+            S.MINUTES.replace(f"{S.n(S.NX)} nx", f"{S.n('rcode = 3 or qr = 0 and event_id % 10 = 0')} nx"),
+        ),
+    ),
     "k01_minute_metrics_sparse": (
         _minutes_sparse, S.query(_metrics_sql(), S.MINUTES, slow=SPARSE),
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dnsight.operators import concentration, priority, quality, spikes, temporal
-from dnsight.plans import marts, staging
+from dnsight.plans import checked, marts, staging
 from workload import sqltext as S
 from workload.packets import (
     dirty_packets, duck_dirty_cte, duck_repeated_cte, packets, repeated_packets,
@@ -206,6 +206,66 @@ select (select sum(c - 1)::bigint from
           (select count(*) c from repeated group by event_id, frame_len, {_KEY})) exact,
   (select sum(c - 1)::bigint from (select count(*) c from repeated group by {_KEY})) by_key"""
 
+def _checked(spark, sf):
+    return checked.build_checked_marts(dirty_packets(spark, sf))
+
+
+_BY_RULE_SQL = " union all ".join(
+    f"select '{c}' as \"column\", '{check}' as \"check\", count(*) filter (where not ({passes})) failures from dirty"
+    for c, (check, passes) in _RULES.items()
+)
+
+
+def _pareto_broken(spark, sf):
+    """Ranking whose first share has a wrong sign, one with a share beyond one hundred, and the right one."""
+    pareto = _marts(spark, sf)[2]
+    share = F.col("cumulative_share_pct")
+    parts = [("right", share), ("negative", -share), ("beyond", share + 100.0)]
+    found = [
+        quality.pareto_first_rank(pareto.withColumn("cumulative_share_pct", F.round(value, 3))).select(
+            F.lit(name).alias("case"), "src_prefix", "cumulative_share_pct"
+        )
+        for name, value in parts
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+_PARETO_BROKEN_SQL = """
+select k as "case", prefix as src_prefix, round(case k when 'negative' then -s else s + 100 end, 3) cumulative_share_pct
+from (select prefix, round(100e0*query_count/(select count(*) from packets where qr = 0), 3) s from top), (values ('negative'), ('beyond')) t(k)"""
+
+
+def _not_empty_cases(spark, sf):
+    stg = staging.staged(packets(spark, sf))
+    parts = [("all", stg), ("none", stg.where("qname = 'no such name'")), ("errors", stg.where("response_code = 3"))]
+    found = [quality.not_empty(rows).select(F.lit(name).alias("case"), "failed") for name, rows in parts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+_NOT_EMPTY_SQL = " union all ".join(
+    f"select '{name}' as \"case\", 1 as failed from (select count(*) c from packets where {where}) where c = 0"
+    for name, where in (("all", "true"), ("none", "qname = 'no such name'"), ("errors", "rcode = 3"))
+)
+
+
+def _labels_broken(spark, sf):
+    """Labels by volume, of which some repeat and some are not labels."""
+    rows = concentration.pareto_full(
+        packets(spark, sf).where("qr = 0 and src_ip is not null").groupBy("src_ip").agg(F.count(F.lit(1)).alias("n")), "src_ip", "n"
+    )
+    rank = F.col("prefix_rank")
+    label = F.when(rank % 7 == 0, F.concat(F.lit("X"), rank)).when(rank % 11 == 0, F.concat(F.lit("S0"), rank)).otherwise(
+        F.concat(F.lit("S"), F.floor(rank / 2) + 1)
+    )
+    return quality.label_checks(rows.select(F.col("src_ip").alias("prefix"), label.alias("label")))
+
+
+_LABELS_BROKEN_SQL = r"""
+select count(*) - count(distinct label) duplicate_labels,
+  count(*) filter (where not regexp_matches(label, '^S[1-9][0-9]*$')) malformed_labels
+from (select case when rk % 7 = 0 then 'X' || rk when rk % 11 = 0 then 'S0' || rk else 'S' || (rk // 2 + 1) end as label
+  from (select unnest(range(1, c + 1)) rk from (select count(distinct src_ip) c from packets where qr = 0)))"""
+
 _DIRTY = duck_dirty_cte()
 
 ENTRIES = {
@@ -257,6 +317,21 @@ ENTRIES = {
         S.query("select 1 failed from (select count(*) c from packets) where c = 0"),
     ),
     "q14_q20_data_tests": (_data_tests, S.query(_DATA_TESTS_SQL, base=_DIRTY)),
+    "q14_q20_checked": (
+        lambda spark, sf: _checked(spark, sf).tests, S.query(_DATA_TESTS_SQL, base=_DIRTY),
+    ),
+    "q01_checked_rules": (lambda spark, sf: _checked(spark, sf).contract, S.query(_BY_RULE_SQL, base=_DIRTY)),
+    "q01_checked_summary": (
+        lambda spark, sf: _checked(spark, sf).summary,
+        S.query(
+            "select 'FAILED' status, (select count(*) from dirty) validated_rows,"
+            " (select count(*) from failures) n_failures",
+            _FAILURES, base=_DIRTY,
+        ),
+    ),
+    "q18_pareto_broken": (_pareto_broken, S.query(_PARETO_BROKEN_SQL, S.PREFIX_COUNTS, S.TOP_PREFIX)),
+    "q20_not_empty_cases": (_not_empty_cases, S.query(_NOT_EMPTY_SQL)),
+    "q24_labels_broken": (_labels_broken, S.query(_LABELS_BROKEN_SQL)),
     "q21_window_guard": (_guard, S.query(_GUARD_SQL, S.DROP_EDGES, S.STEADY)),
     "q23_profile": (_profile, S.query(_PROFILE_SQL, S.DROP_EDGES, S.STEADY, S.PROFILE)),
     "q24_labels": (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dnsight.functions import clock
@@ -157,6 +160,42 @@ def _statistics(spark, sf):
     return readers.load_statistics(packets(spark, sf))
 
 
+def _limited(spark, sf):
+    """Row counts of limited scans of both formats; which rows they are is not fixed."""
+    rows = packets(spark, sf)
+    path = fresh_path(spark, "limited") + ".parquet"
+    writers.write_parquet(rows, path)
+    sources = {"csv": _write_csv(rows.drop("dt"), spark, "limited"), "parquet": path}
+    counts = [
+        readers.read_packets(spark, where, fmt, limit=n).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(fmt).alias("format"), F.lit(n).cast("bigint").alias("limit"), "n"
+        )
+        for fmt, where in sources.items() for n in (1, 500, 10**9)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+_LIMITED_SQL = "select f as format, l::bigint as \"limit\", least(l, (select count(*) from packets)) as n from (values ('csv'), ('parquet')) a(f), (values (1), (500), (1000000000)) b(l)"
+
+
+def _published(spark, sf):
+    """The minute table as a view and as a table of its own, and an existing copy that is kept."""
+    counts = temporal.minute_counts(packets(spark, sf)).select("minute", "packets", "queries")
+    writers.publish(counts, "dnsight_minutes_view")
+    path = fresh_path(spark, "kept")
+    writers.write_parquet(counts.where("packets > 0"), path, mode="ignore")
+    writers.write_parquet(counts.where("packets < 0"), path, mode="ignore")
+    return spark.table("dnsight_minutes_view").withColumn("kind", F.lit("view")).unionByName(
+        spark.read.parquet(path).withColumn("kind", F.lit("kept"))
+    )
+
+
+_PUBLISHED_SQL = (
+    "select minute, packets, queries, kind from (select minute, count(*) packets, count(*) filter (where qr = 0) queries"
+    " from packets group by 1), (values ('view'), ('kept')) t(kind)"
+)
+
+
 def _kpi_cards(spark, sf):
     return report.kpi_cards(packets(spark, sf))
 
@@ -186,6 +225,8 @@ ENTRIES = {
             f" else qname end as qname) from ({_COLUMNS_SQL})"
         ),
     ),
+    "s03_limited": (_limited, S.query(_LIMITED_SQL)),
+    "s11_s16_published": (_published, S.query(_PUBLISHED_SQL)),
     "s05_csv_iso": (_csv_iso, S.query(_COLUMNS_SQL)),
     "s06_csv_inferred": (_csv_inferred, S.query(_COLUMNS_SQL)),
     "s07_parquet_zstd": (_parquet, S.query(_COLUMNS_SQL)),
