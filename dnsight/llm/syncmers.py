@@ -4,7 +4,8 @@ The alphabet is a text's units: runs of up to 16 non-space characters, and each
 longer runs (scripts without spaces, encoded data). A k-mer of units is an anchor if the smallest of its inner s-mers stands at its first or last place. Whether a k-mer is an anchor
 depends on nothing outside of it, so texts that share a passage share the anchors inside it, whatever
 surrounds the passage, at positions that differ by one constant. The fingerprint is the sorted list
-of the smallest anchor hashes.
+of the anchor hashes in the lowest sixteenth of their range, of SKETCH hashes at least, so it grows with the
+text; and a hash of the whole text, so different texts have different fingerprints.
 
 Defined cases: null text counts as empty; an empty text has no anchor, an empty fingerprint and
 likeness 1 to another empty one, else 0; a text of fewer than k units, or without a k-mer that is an
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 UNIT = r"((?<!\S)\S{1,16}(?!\S)|\S)"
 #: Units per k-mer; an inner s-mer has two units.
 K = 5
-#: Anchor hashes kept in a fingerprint; the likeness of larger anchor sets is estimated from these.
-SKETCH = 64
+#: Anchor hashes (of 32 bits) kept in a fingerprint: all below BELOW, and SKETCH if there are so many.
+SKETCH, BELOW = 64, 1 << 28
 
 _LOWEST = -(2**63)
 
@@ -71,23 +72,33 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(anchor: Column) -> Column:
-    """Smallest distinct anchor hashes (32 bits each), ascending."""
+    """The distinct anchor hashes (32 bits each) that a fingerprint keeps, ascending."""
     hashes = F.transform(anchor, lambda a: F.shiftrightunsigned(a["hash"], 32))
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+    return _let(
+        F.array_sort(F.array_distinct(hashes)),
+        lambda h: F.slice(h, F.lit(1), F.greatest(F.lit(SKETCH), F.size(F.filter(h, lambda x: x < BELOW)))),
+    )
 
 
-def fingerprint(sketched: Column) -> Column:
-    """A sketch as text: eight hexadecimal digits for each hash."""
-    return F.array_join(F.transform(sketched, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+def fingerprint(sketched: Column, text: Column) -> Column:
+    """A sketch as text: eight hexadecimal digits for each hash, then sixteen of the whole text's."""
+    digits = F.transform(sketched, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0"))
+    whole = F.lpad(F.lower(F.hex(F.xxhash64(text))), 16, "0")
+    return F.when(F.length(text) == 0, "").otherwise(F.concat(F.array_join(digits, ""), whole))
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Jaccard likeness of two anchor sets, from their sketches; exact for sets up to SKETCH."""
+    """Jaccard likeness of two anchor sets, from their sketches; exact for sets smaller than SKETCH.
+
+    A sketch holds all anchors up to its largest one, so both are compared up to the smaller of these.
+    """
+    known = lambda s: F.when(F.size(s) < SKETCH, F.lit(2**62)).otherwise(F.get(s, F.size(s) - 1))
+    upto = lambda s, end: F.filter(s, lambda h: h <= end)
     return F.when((F.size(left) == 0) & (F.size(right) == 0), 1.0).otherwise(
         _let(
-            F.slice(F.array_sort(F.array_union(left, right)), 1, SKETCH),
-            lambda union: F.size(F.array_intersect(F.array_intersect(union, left), right))
-            / F.size(union),
+            F.least(known(left), known(right)),
+            lambda end: F.size(F.array_intersect(upto(left, end), upto(right, end)))
+            / F.greatest(F.size(F.array_union(upto(left, end), upto(right, end))), F.lit(1)),
         )
     )
 
@@ -173,15 +184,15 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         ),
     )
     rows = rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "n_chars", "text", "edited", F.sha2("edited", 256).alias("edited_sha256"),
         sketch(anchors(F.col("text"))).alias("own"),
         sketch(anchors(F.col("edited"))).alias("changed"),
         sketch(anchors(F.col("next_text"))).alias("following"),
     )
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
-        fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        fingerprint(F.col("own"), F.col("text")).alias("fingerprint"),
+        fingerprint(F.col("changed"), F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
