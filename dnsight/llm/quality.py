@@ -7,7 +7,9 @@ probability that the document's quality label is 1.
 
 Labels are known for documents only. A first, independent model takes the label of the document for all
 its lines; lines of bad documents that it finds good are then taken as good, but for the worst one, and
-the field is trained on these. Training uses a bounded sample of labelled rows; scoring reads all text.
+the field is trained on these. Training uses a bounded sample of labelled rows, whole texts only: SAMPLE
+documents by a hash of their id, as long as they have no more than SAMPLE_LINES lines together; scoring
+reads all text.
 
 Defined cases: null counts as the empty text, which is one line without bytes; labels that are null or
 of no document are ignored; of several labels of a document the lowest counts; without labelled rows,
@@ -17,15 +19,18 @@ scored each; other columns are ignored.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dnsight.llm import words as W
+from dnsight.sources.storage import stage
 
-#: Labelled documents of the training sample, at most, and lines used of each.
-SAMPLE, SAMPLE_LINES = 4000, 256
+#: Labelled documents of the training sample, at most, and lines of all of them together, at most.
+SAMPLE, SAMPLE_LINES = 4000, 400_000
 THRESHOLD = 0.3
 
 _KINDS = {
@@ -212,7 +217,10 @@ def fold(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """Train on labelled documents outside of fold 0, at most `sample`, chosen by a hash of the id."""
+    """Train on labelled documents outside of fold 0, at most `sample`, chosen by a hash of the id.
+
+    A document that would take the sample beyond SAMPLE_LINES lines is left out of it.
+    """
     chosen = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
         .filter("quality is not null and doc_id is not null").filter(fold() != 0)
@@ -226,17 +234,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 features, size, first = line_features(part.column("text"))
-                cut = [features[a: min(z, a + SAMPLE_LINES)] for a, z in zip(first, first[1:])]
-                sizes = [size[a: min(z, a + SAMPLE_LINES)] for a, z in zip(first, first[1:])]
+                own = [features[a:z] for a, z in zip(first, first[1:])]
+                sizes = [size[a:z] for a, z in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.string()), part.column("quality"),
-                     pa.array([c.tobytes() for c in cut], pa.binary()), pa.array([s.tolist() for s in sizes], pa.list_(pa.int64()))],
+                     pa.array([f.tobytes() for f in own], pa.binary()), pa.array([s.tolist() for s in sizes], pa.list_(pa.int64()))],
                     ["doc_id", "quality", "features", "sizes"],
                 )
 
     found = rows.mapInArrow(extract, "doc_id string, quality int, features binary, sizes array<long>")
     # One text for each id: ids may be repeated in the documents.
-    found = found.dropDuplicates(["doc_id"]).collect()
+    found = stage(found.dropDuplicates(["doc_id"]))
+    lengths = {r["doc_id"]: r["n"] for r in found.select("doc_id", F.size("sizes").alias("n")).collect()}
+    taken, left = [], SAMPLE_LINES
+    for doc_id in sorted(lengths, key=lambda d: (blake2b(d.encode(), digest_size=8).digest(), d)):
+        if lengths[doc_id] <= left:
+            taken.append(doc_id)
+            left -= lengths[doc_id]
+    found = found.filter(F.col("doc_id").isin(taken)).collect()
     found.sort(key=lambda r: r["doc_id"])
     lines = [np.frombuffer(bytes(r["features"]), np.float32).reshape(-1, WIDTH) for r in found]
     first = np.cumsum([0, *[len(x) for x in lines]])

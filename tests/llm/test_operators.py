@@ -209,6 +209,25 @@ def test_short_different_texts_differ(spark):
     assert len({r.fingerprint for r in rows}) == len(texts)
 
 
+def test_long_texts(spark):
+    """A changed end gives another fingerprint, and a shared passage some likeness; each against all anchors."""
+    rng = random.Random(8)
+    words = lambda count: [f"w{rng.randrange(50_000)}" for _ in range(count)]
+    one, passage = words(20_000), words(1500)
+    texts = [one, one[:-12] + words(12), words(9000) + passage + words(9000), passage + words(18_000), one[:10_000] + words(10_000)]
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    anchors = syncmers.anchors(F.col("text"))
+    found = rows.select("doc_id", syncmers.sketch(anchors).alias("s"), syncmers.fingerprint(syncmers.sketch(anchors), F.col("text")).alias("f"), anchors["hash"].alias("a"))
+    found = found.orderBy("doc_id").collect()
+    assert len({r.f for r in found}) == len(texts) and min(len(r.s) for r in found) > 200
+    pairs = spark.createDataFrame([(a, b, found[a].s, found[b].s) for a, b in ((0, 1), (2, 3), (0, 4), (0, 2), (0, 0))], "a int, b int, x array<long>, y array<long>")
+    near = {(r.a, r.b): r.n for r in pairs.select("a", "b", syncmers.likeness(F.col("x"), F.col("y")).alias("n")).collect()}
+    for (a, b), value in near.items():
+        x, y = set(found[a].a), set(found[b].a)
+        assert abs(value - len(x & y) / len(x | y)) < 0.06
+    assert near[0, 1] > 0.97 and near[2, 3] > 0 and near[0, 2] < 0.01 and near[0, 0] == 1.0
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = syncmers.compare_edits(odd).collect()
     assert len(rows) == len(ODD)
@@ -652,6 +671,28 @@ def test_quality_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+def test_bad_lines_after_many_good_ones(spark, monkeypatch):
+    """Documents are learned from as a whole, also those that turn bad late."""
+    rng = random.Random(10)
+    clean = lambda: " ".join(rng.choice(["the", "cat", "sat", "on", "a", "mat", "today"]) for _ in range(9)) + "."
+    junk = lambda: "BUY NOW!!! $$$ http://x.y/%d CLICK 100%% FREE ###" % rng.randrange(10**6)
+    rows, labels = [], []
+    for k in range(120):
+        lines = [clean() for _ in range(300)] + [junk() if k % 2 else clean() for _ in range(100)]
+        rows.append((k, "\n".join(lines)))
+        labels.append((k, 1 - k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, table), ["doc_id"]).collect()}
+    assert all((found[k] >= 0.5) == bool(y) for k, y in labels)
+    # The sample stays within its lines, in whole documents.
+    trained = []
+    monkeypatch.setattr(quality, "train", lambda features, size, first, label: trained.append(np.diff(first)))
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 1000)
+    quality.fit(docs, table)
+    assert trained[0].tolist() == [400, 400]
+
+
 def test_quality_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (6, 0), (5, None), (None, 0), (7, 1), (6, 0), (8, 1)], "doc_id long, quality int")
     model = quality.fit(odd, labels)
