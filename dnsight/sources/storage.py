@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes = threading.local()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach: the session's checkpoint setting.
@@ -31,8 +36,46 @@ def stage(df: DataFrame) -> DataFrame:
     """Compute a table now, write it to the shared folder and read it back.
 
     Later uses neither repeat the scan nor depend on executors that are still alive, and Spark
-    knows the size of the table when it plans joins with it.
+    knows the size of the table when it plans joins with it. It lies there until the `scratch` block
+    around it ends, or for as long as the folder does.
     """
     path = fresh_path(df.sparkSession, "staged")
+    open_scopes = getattr(_scopes, "paths", [])
+    if open_scopes:
+        open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a staged table wherever the shared folder is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables staged inside the block are removed at its end, whether it fails or not.
+
+    The block gets a function that stages a table beyond its end. What leaves the block has to be such
+    a table: one that is not computed yet would look for those that are gone.
+    """
+    if not hasattr(_scopes, "paths"):
+        _scopes.paths = []
+    own: list[str] = []
+    _scopes.paths.append(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        place = next(k for k, paths in enumerate(_scopes.paths) if paths is own)
+        inner, _scopes.paths = _scopes.paths[place:], _scopes.paths[:place]
+        try:
+            return stage(df)
+        finally:
+            _scopes.paths += inner
+
+    try:
+        yield keep
+    finally:
+        _scopes.paths = [paths for paths in _scopes.paths if paths is not own]
+        for path in own:
+            _remove(spark, path)

@@ -108,6 +108,30 @@ def test_stage_keeps_rows_and_types(spark):
     assert sorted(map(str, staged.collect())) == sorted(map(str, df.collect()))
 
 
+def test_scratch_tables_are_removed(spark):
+    made = []
+
+    def table(n):
+        df = storage.stage(spark.range(n))
+        made.append(df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+        return df
+
+    with storage.scratch(spark) as keep:
+        table(3)
+        with storage.scratch(spark) as keep_inside:
+            inner = keep_inside(table(4).where("id > 1"))
+            outer = keep(table(5))
+        assert inner.count() == 2 and [os.path.exists(p) for p in made] == [True, False, False]
+        kept = keep(inner)
+    with pytest.raises(ValueError), storage.scratch(spark):
+        table(6)
+        raise ValueError
+    assert not any(os.path.exists(p) for p in made)
+    assert kept.count() == 2 and outer.count() == 5
+    table(7)
+    assert os.path.exists(made[-1])
+
+
 def test_generator(spark, folder):
     rows = generator.sample_packets(spark, 4000)
     again = generator.sample_packets(spark.newSession(), 4000).repartition(3)
