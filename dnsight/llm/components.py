@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dnsight.sources.storage import stage
+from dnsight.sources.storage import scratch, stage
 
 
 def _compressed(parents: DataFrame) -> DataFrame:
@@ -27,9 +27,14 @@ def components(links: DataFrame) -> DataFrame:
     Each round hooks every node with a smaller neighbour to its smallest one and follows the hooks down
     to nodes without one, which take the place of all others in the links. A node is hooked in one
     round only, so the hooks of all rounds are a forest, which is followed once more at the end. Tables
-    of a round are written to the shared folder. Null ends and loops are ignored. A node with very many
-    links is one key of a join, which adaptive execution splits.
+    of a round are written to the shared folder, the result beyond the call. Null ends and loops are ignored.
+    A node with very many links is one key of a join, which adaptive execution splits.
     """
+    with scratch(links.sparkSession) as keep:
+        return keep(_components(links))
+
+
+def _components(links: DataFrame) -> DataFrame:
     edges = stage(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter("a is not null and b is not null and u <> v").distinct()
@@ -50,7 +55,6 @@ def components(links: DataFrame) -> DataFrame:
         return nodes.withColumn("root", F.col("node"))
     if rounds > 1:
         forest = _compressed(forest)
-    return stage(
-        nodes.join(forest.withColumnRenamed("u", "node"), "node", "left")
-        .select("node", F.coalesce("p", "node").alias("root"))
+    return nodes.join(forest.withColumnRenamed("u", "node"), "node", "left").select(
+        "node", F.coalesce("p", "node").alias("root")
     )

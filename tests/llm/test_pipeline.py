@@ -81,6 +81,24 @@ def test_rows_with_null_and_repeated_ids(spark, planted):
     assert order(kept.collect()) == order(clean)
 
 
+def test_stages_on_odd_tables(spark, planted):
+    """Columns named like those of the operators, a very long text, nulls, and no rows at all."""
+    random.seed(14)
+    names = ["score", "predicted", "component_id", "contaminated", "removed", "n_words", "class", "doc"]
+    long = "\n".join(sentence(50) for _ in range(2000))
+    rows = [(1, sentence(60)), (2, long), (3, None), (None, ""), (5, sentence(40)), (5, sentence(40))]
+    odd = spark.createDataFrame([(d, t, "en", "s", None, *range(8)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in names))
+    for docs, count in ((odd, len(rows)), (odd.filter("false"), 0)):
+        for name, function in corpus_pipeline.STAGES[:-1]:
+            docs = function(spark, docs, planted)
+            assert docs.columns == odd.columns
+            assert docs.count() == count, name
+            if count:
+                assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(8))}
+        pieces = corpus_pipeline.pack_sequences(spark, docs, planted)
+        assert {r.doc_id for r in pieces.select("doc_id").collect()} == ({1, 2, 3, None, 5} if count else set())
+
+
 def test_run_gives_the_last_stage(spark, planted):
     rows = corpus_pipeline.run(spark, planted).collect()
     expected = stages(spark, planted)["packing"]
