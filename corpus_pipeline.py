@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 
 from dnsight.llm import decontamination, jaccard, line_dedup, packing, quality
 from dnsight.llm.tokens import default_tokenizer
-from dnsight.sources.storage import stage
+from dnsight.sources.storage import scratch, stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as 1; it learns from the labelled ones among them."""
+    """Documents that the quality classifier predicts as 1; it learns from the labelled ones among them.
+
+    Null and empty texts are scored like others, repeated rows each; a score at the threshold is kept; an empty
+    table stays empty. Columns may have any further names, but none that begins with two underscores.
+    """
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, docs.columns).filter("predicted = 1").select(*docs.columns)
+    own = [F.col(f"`{c}`").alias(f"__column{k}") for k, c in enumerate(docs.columns)]
+    scored = quality.score(docs.select(*own, "text"), model, [f"__column{k}" for k in range(len(own))])
+    return scored.filter("predicted = 1").drop("score", "predicted").toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +38,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with a number `__row` for each row, stored, so that it is the same in every use."""
-    return stage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    """The documents with a number `__row` for each row, to be stored, so that it is the same in every use."""
+    return docs.withColumn("__row", F.monotonically_increasing_id())
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,25 +47,31 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Repeated rows are near duplicates like others. Texts without a word link with nothing, so their rows stay.
     """
-    keyed = _keyed(docs)
-    # As ids of the operator, these make the first row of a group its component's id.
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    classes = jaccard.near_duplicates(keyed.select(place.alias("doc_id"), "text"))
-    kept = stage(classes.filter("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("__row")))
+    with scratch(spark) as keep:
+        keyed = keep(_keyed(docs))
+        # As ids of the operator, these make the first row of a group its component's id.
+        place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+        classes = jaccard.near_duplicates(keyed.select(place.alias("doc_id"), "text"))
+        kept = keep(classes.filter("doc_id.row = component_id.row").select(F.col("doc_id.row").alias("__row")))
     return keyed.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that benchmark passages don't contaminate, whatever their ids; each is judged by its own text."""
-    keyed = _keyed(docs)
-    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
-    found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = stage(found.filter("contaminated").select(F.col("doc_id").alias("__row")))
+    with scratch(spark) as keep:
+        keyed = keep(_keyed(docs))
+        rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+        found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+        bad = keep(found.filter("contaminated").select(F.col("doc_id").alias("__row")))
     return keyed.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents that are left, with their sequences."""
+    """Pieces of the documents that are left, with their sequences.
+
+    Null and empty texts are a piece of one token; repeated rows are packed each; no documents, no pieces;
+    columns but `doc_id` and `text` are left out, whatever their names.
+    """
     return packing.pack(docs, default_tokenizer())
 
 
