@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dnsight.functions import clock
 from dnsight.functions import predicates as P
 from dnsight.functions.measures import count_rows, count_where
-from dnsight.operators.shared import one_row, one_value
+from dnsight.operators.shared import may_be_member, one_row, one_value
 from dnsight.schema import REQUIRED_COLUMNS, TRANSACTION_KEY
 from dnsight.sources.storage import stage
 
@@ -229,14 +229,15 @@ def duplicate_audit(
     Exact copies share their key and rows with equal keys share its hash. So the first step counts
     8-byte hashes, pre-aggregated, and only rows whose hash repeats are grouped by their real
     values. The list of repeated hashes is stored first, so the join with it is planned by its true
-    size: while it is small, the wide rows that occur once are not shuffled.
+    size; and a filter of fixed size keeps the wide rows that occur once from it, so they are not
+    shuffled either when that list is too large to be sent to all tasks.
     """
     hashed = packets.withColumn("key_hash", F.xxhash64(*[F.col(c) for c in key]))
     repeated = stage(
         hashed.groupBy("key_hash").agg(count_rows().alias("n")).where(F.col("n") > 1)
         .select("key_hash")
     )
-    suspects = hashed.join(repeated, "key_hash", "left_semi").drop("key_hash")
+    suspects = may_be_member(hashed, "key_hash", repeated).join(repeated, "key_hash", "left_semi").drop("key_hash")
     exact = suspects.groupBy(*packets.columns).agg(count_rows().alias("n"))
     per_key = exact.groupBy(*key).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("copies")

@@ -38,6 +38,32 @@ def with_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
+#: Bits of a member filter (8 MB): it lets a share of members / FILTER_BITS of the other rows through.
+FILTER_BITS = 1 << 26
+
+
+def may_be_member(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """The rows whose 64-bit hash in ``column`` may be one of the members' (same column); no member is lost.
+
+    The filter is a bitmap of fixed size that an aggregate builds, so it can be sent to all tasks
+    however many members there are, and a join with them moves little more than their rows.
+    """
+
+    def place(hashed: DataFrame) -> Column:
+        return F.pmod(hashed[column], F.lit(FILTER_BITS)) + 1
+
+    bits = members.groupBy(F.bitmap_bucket_number(place(members)).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(members))).alias("__bits")
+    )
+    marked = df.withColumns({
+        "__bucket": F.bitmap_bucket_number(place(df)), "__bit": F.bitmap_bit_position(place(df)).cast("int"),
+    })
+    # One row of 4 KB for each of FILTER_BITS / 32768 buckets at most.
+    joined = marked.join(F.broadcast(bits), "__bucket")
+    byte = F.conv(F.hex(F.substring("__bits", F.expr("__bit div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
+    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(__bit % 8 as int))")) > 0).select(*df.columns)
+
+
 def running_totals(
     df: DataFrame,
     tiers: Sequence[tuple[str, str]],

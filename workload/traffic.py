@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dnsight.functions import names
 from dnsight.functions import predicates as P
-from dnsight.operators import traffic
-from dnsight.plans import marts, staging
+from dnsight.operators import sketches, traffic
+from dnsight.plans import incremental, marts, staging
 from dnsight.schema import RCODE_NAMES
+from dnsight.sources.storage import fresh_path
 from workload import sqltext as S
 from workload.minutes import rounded
 from workload.packets import packets
@@ -277,7 +279,53 @@ def _rollup(spark, sf):
     return traffic.kpis(rollup, weight="n").withColumn("rollup_rows", F.lit(True))
 
 
+def _by_capture(spark, sf):
+    """States of four captures, one of them loaded twice; only its own partition is written again."""
+    path, rows = fresh_path(spark, "captures"), packets(spark, sf)
+    for part in (0, 1, 2, 3, 1):
+        incremental.load_capture(rows.where(F.col("event_id") % 4 == part), path, f"c{part}")
+    return incremental.state(spark, path)
+
+
+def _sketched(spark, sf):
+    """Distinct names per direction beside their estimate from merged sketches, as whether it is near."""
+    rows = packets(spark, sf)
+    merged = sketches.estimates(sketches.merged(sketches.minute_sketches(rows), "qr"))
+    near = F.abs(F.col("name_distinct") - F.col("names")) <= F.greatest(F.lit(1), 0.08 * F.col("names"))
+    exact = rows.groupBy(F.col("qr").alias("direction")).agg(
+        F.count_distinct(names.normalised("qname")).alias("names")
+    )
+    # Half of the frame lengths lie below the middle of their range, and so should the middle of the sketch.
+    middle = F.abs(F.col("frame_len_values")[1] - (64 + 668)) <= 60
+    return merged.join(exact, F.col("qr") == F.col("direction")).select(
+        F.col("qr").cast("bigint").alias("qr"), "n", "names", near.alias("near"), middle.alias("middle_near")
+    )
+
+
 ENTRIES = {
+    "k03_incremental": (lambda spark, sf: incremental.temporal_mart(_by_capture(spark, sf)), S.query(_FCT_TEMPORAL_SQL)),
+    "k05_incremental": (
+        lambda spark, sf: incremental.pareto_mart(_by_capture(spark, sf)),
+        S.query(
+            "select row_number() over (order by c desc, prefix) prefix_rank, prefix src_prefix, c query_count,"
+            " round(100e0*c/t, 3) share_pct, round(100e0*sum(c) over (order by c desc, prefix)/t, 3) cumulative_share_pct,"
+            " round(100e0*sum(c) over (order by c desc, prefix)/t, 3) <= 80 is_pareto_top_80"
+            " from (select prefix, c, sum(c) over () t from (select coalesce(src_prefix, 'UNKNOWN') prefix, count(*) c"
+            " from packets where qr = 0 group by 1))"
+        ),
+    ),
+    "k07_incremental": (
+        lambda spark, sf: incremental.protocol_mart(_by_capture(spark, sf)).withColumn(
+            "response_code", F.col("response_code").cast("bigint")
+        ),
+        S.query(_FCT_MATRIX_SQL),
+    ),
+    "k22_sketched_names": (
+        _sketched,
+        S.query(
+            "select qr::bigint qr, count(*) n, count(distinct name) names, true near, true middle_near from packets group by 1"
+        ),
+    ),
     "k03_fct_temporal": (_fct_temporal, S.query(_FCT_TEMPORAL_SQL)),
     "k06_matrix_wide": (_matrix_wide, S.query(_MATRIX_WIDE_SQL, _TOP5)),
     "k06_matrix_long": (_matrix_long, S.query(_MATRIX_LONG_SQL)),
