@@ -84,3 +84,28 @@ def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
     return data.agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
     )
+
+
+#: Settings under which the file source answers counts and ranges from the footers of Parquet files.
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_statistics(spark: SparkSession, path: str, columns: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """One row: number of rows, least and largest value of number and date columns, from Parquet footers.
+
+    No row group is read. It runs when called, under settings that are put back afterwards. A column
+    of another type is refused, as its range would have to be read.
+    """
+    before = {k: spark.conf.get(k) for k in _FOOTERS}
+    try:
+        for key, value in _FOOTERS.items():
+            spark.conf.set(key, value)
+        ranges = [f(F.col(c)).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+        found = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), *ranges)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        if "RelationV2[count(*)" not in plan:
+            raise ValueError(f"no ranges of {', '.join(columns)} in the footers")
+        return spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -132,6 +132,30 @@ def test_scratch_tables_are_removed(spark):
     assert os.path.exists(made[-1])
 
 
+def test_footer_statistics(spark, folder):
+    rows, path = packets(spark, SF_SMALL), os.path.join(folder, "a.parquet")
+    writers.write_parquet(rows, path)
+    before = {k: spark.conf.get(k) for k in readers._FOOTERS}
+    (found,) = rows_of(readers.footer_statistics(spark, path, ("ts", "frame_len")))
+    expected = rows.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("ts", "frame_len") for f in (F.min, F.max)]).first()
+    assert found == expected.asDict()
+    with pytest.raises(ValueError, match="qname"):
+        readers.footer_statistics(spark, path, ("qname",))
+    assert {k: spark.conf.get(k) for k in readers._FOOTERS} == before
+
+
+def test_bucketed_tables_need_no_exchange(spark, folder):
+    rows = packets(spark, SF_SMALL).where("src_ip is not null")
+    tables = [writers.write_bucketed(rows, f"bucketed_{k}", "src_ip", 4, os.path.join(folder, str(k))) for k in range(2)]
+    counts = [t.groupBy("src_ip").agg(F.count(F.lit(1)).alias(f"n{k}")) for k, t in enumerate(tables)]
+    joined = counts[0].join(counts[1].hint("merge"), "src_ip")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert {r["src_ip"]: r["n0"] for r in rows_of(joined)} == {r["src_ip"]: r["count"] for r in rows_of(rows.groupBy("src_ip").count())}
+    files = [f for f in os.listdir(os.path.join(folder, "0")) if f.endswith(".parquet")]
+    assert len(files) <= 4
+
+
 def test_generator(spark, folder):
     rows = generator.sample_packets(spark, 4000)
     again = generator.sample_packets(spark.newSession(), 4000).repartition(3)

@@ -196,6 +196,32 @@ _PUBLISHED_SQL = (
 )
 
 
+def _footers(spark, sf):
+    """Rows and the range of two columns of a stored copy, from its footers."""
+    path = fresh_path(spark, "footers") + ".parquet"
+    writers.write_parquet(packets(spark, sf), path)
+    return readers.footer_statistics(spark, path, ("event_id", "ts"))
+
+
+def _bucketed(spark, sf):
+    """Messages per host, and hosts that ask and answer, from two tables that need no shuffle."""
+    rows = packets(spark, sf)
+    sides = [
+        writers.write_bucketed(
+            rows.where(f"qr = {qr} and {key} is not null").select(F.col(key).alias("host"), "rcode"),
+            f"dnsight_{key}", "host", 8, fresh_path(spark, "bucketed"),
+        ).groupBy("host").agg(F.count(F.lit(1)).alias(name))
+        for qr, key, name in ((0, "src_ip", "queries"), (1, "dst_ip", "responses"))
+    ]
+    return sides[0].join(sides[1].hint("merge"), "host")
+
+
+_BUCKETED_SQL = (
+    "select q.host, queries, responses from (select src_ip as host, count(*) queries from packets where qr = 0 group by 1) q"
+    " join (select dst_ip as host, count(*) responses from packets where qr = 1 group by 1) r on q.host = r.host"
+)
+
+
 def _kpi_cards(spark, sf):
     return report.kpi_cards(packets(spark, sf))
 
@@ -227,6 +253,14 @@ ENTRIES = {
     ),
     "s03_limited": (_limited, S.query(_LIMITED_SQL)),
     "s11_s16_published": (_published, S.query(_PUBLISHED_SQL)),
+    "s14_footers": (
+        _footers,
+        S.query(
+            'select count(*) as "rows", min(event_id) min_event_id, max(event_id) max_event_id, min(ts) min_ts, max(ts) max_ts'
+            " from packets"
+        ),
+    ),
+    "s11_bucketed": (_bucketed, S.query(_BUCKETED_SQL)),
     "s05_csv_iso": (_csv_iso, S.query(_COLUMNS_SQL)),
     "s06_csv_inferred": (_csv_inferred, S.query(_COLUMNS_SQL)),
     "s07_parquet_zstd": (_parquet, S.query(_COLUMNS_SQL)),
