@@ -9,7 +9,7 @@ from dnsight.llm import (
     sharding, syncmers, token_counts,
 )
 from dnsight.llm.tokens import default_tokenizer
-from dnsight.sources.storage import stage
+from dnsight.sources.storage import fresh_path, stage
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
@@ -38,9 +38,13 @@ def _syncmers(spark, sf):
 
 
 def _sharding(spark, sf):
-    docs = _table(spark, sf, "documents").select("doc_id", "n_chars")
-    placed = sharding.place(docs, ["doc_id"], SHARDS)
-    return sharding.place(placed, ["doc_id"], SHARDS[:-1], name="shard_after_loss")
+    """Whole documents, written to the folders of their shards and read from there."""
+    placed = sharding.place(_table(spark, sf, "documents"), ["doc_id"], SHARDS)
+    placed = sharding.place(placed, ["doc_id"], SHARDS[:-1], name="shard_after_loss")
+    path = fresh_path(spark, "shards")
+    sharding.write_shards(placed, path)
+    rows = sharding.read_shards(placed, path)
+    return rows.select("doc_id", "n_chars", "lang", "source", "slot", "shard", "shard_after_loss", F.md5("text").alias("text_md5"))
 
 
 def _line_dedup(spark, sf):
@@ -105,8 +109,8 @@ def _shard_sql() -> str:
     )
     owners = ", ".join(f"string_split('{v}', ' ') as {k}" for k, v in lists.items())
     return (
-        f"with t as (select {owners}), d as (select doc_id, n_chars, {slot}::int as slot from documents)"
-        " select d.doc_id, d.n_chars, d.slot,"
+        f"with t as (select {owners}), d as (select *, {slot}::int as slot from documents)"
+        " select d.doc_id, d.n_chars, d.lang, d.source, d.slot, md5(d.text) as text_md5,"
         " printf('shard-%03d', list_extract(t.a, d.slot + 1)::int) as shard,"
         " printf('shard-%03d', list_extract(t.b, d.slot + 1)::int) as shard_after_loss from d, t"
     )

@@ -4,6 +4,10 @@ Each shard has a preference order over the slots of a table of prime size: a sta
 name's hash. Shards take turns; each claims its next free slot. A row's slot is its key's hash modulo
 the size, so placement is one lookup in a table of fixed size, which is broadcast. Shards own equal
 numbers of slots (they differ by one at most), and losing a shard moves few rows besides its own.
+
+Defined cases: rows of equal keys share a slot and so a shard, repeated rows are kept each; a null key part is
+a value of its own; the text plays no part, so it may be null, empty or very long; no rows, no rows placed,
+and no folders; of two shards that want a slot the one listed first is served first.
 """
 
 from __future__ import annotations
@@ -80,6 +84,11 @@ def place(
     )
 
 
+def read_shards(placed: DataFrame, path: str) -> DataFrame:
+    """The rows that `write_shards` wrote, with the shard of the folder they lie in."""
+    return placed.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)
+
+
 def write_shards(placed: DataFrame, path: str, splits: int = 8) -> None:
     """Write one folder per shard, each by up to `splits` tasks, so no task holds a whole shard."""
     salt = F.pmod(F.xxhash64(*placed.columns), F.lit(splits)) if placed.columns else F.lit(0)

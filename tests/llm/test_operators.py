@@ -270,6 +270,12 @@ def test_written_shards(spark, odd, folder):
     placed = sharding.place(odd, ["doc_id"], ["a", "b"], 101)
     sharding.write_shards(placed, f"{folder}/shards", splits=3)
     assert spark.read.parquet(f"{folder}/shards").count() == len(ODD)
+    back = sharding.read_shards(placed, f"{folder}/shards")
+    assert back.columns == placed.columns
+    assert sorted(map(str, back.collect())) == sorted(map(str, placed.collect()))
+    nothing = sharding.place(empty(spark), ["doc_id"], ["a", "b"], 101)
+    sharding.write_shards(nothing, f"{folder}/none")
+    assert sharding.read_shards(nothing, f"{folder}/none").count() == 0
 
 
 # 4: line dedup
