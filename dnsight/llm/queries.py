@@ -19,7 +19,7 @@ def _table(spark, sf, name):
 
 
 def _token_counts(spark, sf):
-    """Three edits of every document: a word inside, a cut, and an addition at the end."""
+    """Three edits of every document, by its stored tree: a word inside, a cut, and an addition at the end."""
     n = F.char_length(F.coalesce("text", F.lit(""))).cast("long")
     edit = lambda start, removed, inserted: F.struct(
         start.alias("start"), F.lit(removed).cast("long").alias("removed"), F.lit(inserted).alias("inserted")
@@ -28,7 +28,8 @@ def _token_counts(spark, sf):
     edits = F.array(
         edit(F.floor(n / 3), 5, " edited"), edit(F.floor(n / 2), 40, ""), edit(n, 0, "\nThe end.")
     )
-    return token_counts.update_counts(docs.withColumn("edits", edits), default_tokenizer()).drop(
+    trees = stage(token_counts.apply_edits(docs, default_tokenizer()).select("doc_id", "text", "leaf_chars", "leaf_tokens"))
+    return token_counts.update_counts(trees.withColumn("edits", edits), default_tokenizer()).drop(
         "leaf_chars", "leaf_tokens"
     )
 

@@ -4,11 +4,12 @@ A text is cut into leaves at single spaces between two characters that are not w
 pre-token begins whatever surrounds it, so the tokens of a text are those of its leaves. A tree holds
 the characters and tokens of each subtree. An edit touches some leaves; these and one leaf on either
 side (whose inner borders the edit can't move) are cut anew and encoded, and only the sums above them
-change. A text without such a space is one leaf.
+change. A text without such a space is one leaf. The leaves are kept with the text, so a later edit builds the
+tree from them and encodes nothing else.
 
 Defined cases: null text counts as empty (no tokens); places beyond the end mean the end; null or
 missing edits change nothing; edits of a document apply in order, each to the result of the one
-before; other columns are kept.
+before; leaves that are not those of the text (their characters don't add up) are made anew; other columns are kept.
 """
 
 from __future__ import annotations
@@ -111,52 +112,96 @@ class Tree:
         return len(region)
 
 
-def update_counts(docs: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
-    """Adds n_chars, n_tokens, n_leaves, edited_n_chars, edited_n_tokens, reencoded_chars to the columns.
+def _rows(docs: DataFrame, edits: str, added: list[str]) -> tuple[DataFrame, list]:
+    """The columns that are kept, the text, the edits, and the stored leaves or null; and the kept fields."""
+    own = {a.split()[0] for a in added} | {"text", "leaf_chars", "leaf_tokens", edits}
+    kept = [f for f in docs.schema.fields if f.name not in own]
+    held = {"leaf_chars", "leaf_tokens"} <= set(docs.columns)
+    lists = [
+        (F.col(c) if held else F.lit(None)).cast("array<int>").alias(f"__{c}") for c in ("leaf_chars", "leaf_tokens")
+    ]
+    changes = (F.col(edits) if edits in docs.columns else F.lit(None)).cast(EDITS).alias("__edits")
+    text = F.col("text").cast("string").alias("__text")
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept], text, changes, *lists), kept
 
-    `edits` names a column of type EDITS. The tree of a document lives while its row is worked on, and
-    `leaf_chars`, `leaf_tokens` hold its leaves for later use.
-    """
-    added = (
-        "n_chars long, n_tokens long, n_leaves long, edited_n_chars long, edited_n_tokens long,"
-        " reencoded_chars long, leaf_chars array<int>, leaf_tokens array<int>"
-    )
-    names = [a.split()[0] for a in added.split(", ")]
-    kept = [f for f in docs.schema.fields if f.name not in {*names, "text", edits}]
-    rows = docs.select(
-        *[F.col(f"`{f.name}`") for f in kept], F.col("text").cast("string").alias("text"),
-        F.col(edits).cast(EDITS).alias("edits"),
-    )
+
+def _tree(text: str, chars: list[int] | None, tokens: list[int] | None, count) -> Tree:
+    """The tree of a text: from its stored leaves, if they are leaves of it, else by encoding all of it."""
+    if chars is not None and tokens is not None and sum(chars) == len(text) and len(chars) == len(tokens) > 0:
+        ends = np.cumsum(chars).tolist()
+        return Tree([text[z - n: z] for z, n in zip(ends, chars)], tokens)
+    parts = leaves(text)
+    return Tree(parts, [count(p) for p in parts])
+
+
+def _worked(docs: DataFrame, tokenizer: str, edits: str, added: list[str], result) -> DataFrame:
+    """The kept columns and `added`, which `result` gives for a text, its tree before and after, and encoded characters."""
+    rows, kept = _rows(docs, edits, added)
+    names = [a.split()[0] for a in added]
+    kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    types = [kinds[a.split()[1]] for a in added]
 
     def work(batches: Iterator[pa.RecordBatch]):
         encoder = Encoder(tokenizer)
         count = lambda text: len(encoder.ids(text))
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "__text"):
                 out = []
-                for text, changes in zip(part.column("text").to_pylist(), part.column("edits").to_pylist()):
-                    parts = leaves(text or "")
-                    tree = Tree(parts, [count(p) for p in parts])
-                    size = [tree.chars, tree.tokens, len(parts)]
-                    sums = tree.sums[tree.width: tree.width + tree.used].copy()
-                    encoded = 0
+                columns = [part.column(c).to_pylist() for c in ("__text", "__edits", "__leaf_chars", "__leaf_tokens")]
+                for text, changes, chars, tokens in zip(*columns):
+                    tree = _tree(text or "", chars, tokens, count)
+                    before, encoded = (tree.chars, tree.tokens, tree.sums[tree.width: tree.width + tree.used].copy()), 0
                     for change in changes or []:
                         if change is not None:
                             encoded += tree.edit(
                                 change["start"] or 0, change["removed"] or 0, change["inserted"] or "", count
                             )
-                    out.append((*size, tree.chars, tree.tokens, encoded, sums[:, 0], sums[:, 1]))
-                kinds = [*[pa.int64()] * 6, pa.list_(pa.int32()), pa.list_(pa.int32())]
+                    out.append(result(before, tree, encoded))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(f.name) for f in kept],
-                     *[pa.array(list(c), k) for c, k in zip(zip(*out), kinds)]],
+                    [*[part.column(f.name) for f in kept], *[pa.array(list(c), k) for c, k in zip(zip(*out), types)]],
                     [*[f.name for f in kept], *names],
                 )
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], added])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], *added])
     return rows.mapInArrow(work, schema)
 
 
+def update_counts(docs: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
+    """Adds n_chars, n_tokens, n_leaves, edited_n_chars, edited_n_tokens, reencoded_chars, leaf_chars, leaf_tokens.
+
+    `edits` names a column of type EDITS. Where the documents hold `leaf_chars` and `leaf_tokens`, as
+    `apply_edits` returns them, only what the edits touch is encoded; other texts are encoded whole.
+    """
+    added = [
+        "n_chars long", "n_tokens long", "n_leaves long", "edited_n_chars long", "edited_n_tokens long",
+        "reencoded_chars long", "leaf_chars array<int>", "leaf_tokens array<int>",
+    ]
+
+    def result(before, tree, encoded):
+        chars, tokens, sums = before
+        return chars, tokens, len(sums), tree.chars, tree.tokens, encoded, sums[:, 0], sums[:, 1]
+
+    return _worked(docs, tokenizer, edits, added, result)
+
+
+def apply_edits(docs: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
+    """The documents with edited `text`, and n_chars, n_tokens, reencoded_chars, leaf_chars, leaf_tokens of it.
+
+    The leaves are the document's tree: stored with the text, the next call takes them from there and
+    encodes only what its edits touch. Without a column of edits it makes the trees.
+    """
+    added = [
+        "text string", "n_chars long", "n_tokens long", "reencoded_chars long", "leaf_chars array<int>", "leaf_tokens array<int>",
+    ]
+
+    def result(before, tree, encoded):
+        sums = tree.sums[tree.width: tree.width + tree.used]
+        sums = sums[sums[:, 0] > 0] if tree.chars else sums[:1]
+        return "".join(tree.texts), tree.chars, tree.tokens, encoded, sums[:, 0], sums[:, 1]
+
+    return _worked(docs, tokenizer, edits, added, result)
+
+
 def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id and n_tokens of every row."""
     none = F.lit(None).cast(EDITS)

@@ -17,6 +17,7 @@ from dnsight.llm import (
 from dnsight.llm import words as W
 from dnsight.llm.components import components
 from dnsight.llm.tokens import Encoder, default_tokenizer
+from dnsight.sources import storage
 from tests.conftest import SF_SMALL
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -160,6 +161,27 @@ def test_token_counts(spark, odd):
     assert token_counts.token_counts(empty(spark), default_tokenizer()).count() == 0
 
 
+def test_stored_trees_follow_edits(spark, odd):
+    """Edits in turn, each by the trees that the one before stored; only what they touch is encoded."""
+    encoder = Encoder(default_tokenizer())
+    docs = odd.select("doc_id", "text", "score").unionByName(spark.createDataFrame([(50, "some words " * 5000, 2)], "doc_id long, text string, score int"))
+    expected = [t or "" for t in [*(t for _, t, *_ in ODD), "some words " * 5000]]
+    trees = storage.stage(token_counts.apply_edits(docs, default_tokenizer()))
+    for start, removed, inserted in ((3, 2, " new words"), (0, 1, ""), (10**9, 0, " at the end"), (40, 4000, "x")):
+        edits = f"array(struct({start}L as start, {removed}L as removed, '{inserted}' as inserted))"
+        # Counts of the row before do not matter, its leaves do.
+        edited = token_counts.apply_edits(trees.selectExpr("*", f"cast({edits} as {token_counts.EDITS}) as edits"), default_tokenizer())
+        trees = storage.stage(edited)
+        expected = [t[:start] + inserted + t[start + removed:] for t in expected]
+        rows = trees.collect()
+        assert sorted((r.text, r.n_chars, r.n_tokens) for r in rows) == sorted((t, len(t), len(encoder.ids(t))) for t in expected)
+        assert all(sum(r.leaf_chars) == r.n_chars and sum(r.leaf_tokens) == r.n_tokens and r.score == 2 for r in rows)
+        assert max(r.reencoded_chars for r in rows if r.doc_id == 50) < 6000
+    stale = trees.withColumn("text", F.concat("text", F.lit(" more"))).drop("edits")
+    again = token_counts.apply_edits(stale, default_tokenizer()).collect()
+    assert sorted((r.text, r.n_tokens) for r in again) == sorted((t + " more", len(encoder.ids(t + " more"))) for t in expected)
+
+
 # 2: fingerprints
 
 
