@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from dnsight.functions import clock, names
 from dnsight.functions import predicates as P
-from dnsight.functions.measures import count_where, first_max, percent
+from dnsight.functions.measures import count_rows, count_where, first_max, percent
 from dnsight.operators.shared import one_row, one_value, with_rank
 from dnsight.operators.suffix import SuffixTable, with_registrable
 from dnsight.operators.temporal import minute_metrics
+from dnsight.sources.storage import stage
 
 
 def spike_window(
@@ -23,17 +24,23 @@ def spike_window(
 ) -> DataFrame:
     """One row: steady bounds, number of steady minutes, peak minute, and number of other minutes.
 
+    Packets are read once, for counts per minute; bounds and peak come from these, and both are staged,
+    as the window is used several times. Counts that are there already are given with their ``weight``.
     ``peak`` is "packets", "nx" or a minute. The minutes come from the calendar, so minutes without
     NXDOMAIN count for the baseline. ``n_other`` is null when there is no baseline: fewer than two
     minutes, or a peak outside of them.
     """
+    if peak not in ("packets", "nx") and not isinstance(peak, datetime):
+        raise ValueError(f"unknown peak {peak!r}")
+    if weight is None:
+        keys = ["qr", "proto", "tc", "rcode"]
+        rows = packets.select(clock.minute_floor("dt").alias("minute"), *keys, "dt")
+        packets, weight = stage(rows.groupBy("minute", *keys).agg(count_rows().alias("n"), F.min("dt").alias("dt"))), "n"
     metrics = minute_metrics(packets, steady, weight=weight)
     if isinstance(peak, datetime):
         minute = F.lit(peak.replace(second=0, microsecond=0)).cast("timestamp_ntz")
-    elif peak in ("packets", "nx"):
-        minute = first_max(peak, "minute")
     else:
-        raise ValueError(f"unknown peak {peak!r}")
+        minute = first_max(peak, "minute")
     bounds = metrics.agg(
         F.min("minute").alias("first_minute"),
         F.max("minute").alias("last_minute"),
@@ -43,7 +50,7 @@ def spike_window(
     usable = (F.col("n_minutes") >= 2) & F.col("peak_minute").between(
         F.col("first_minute"), F.col("last_minute")
     )
-    return bounds.withColumn("n_other", F.when(usable, F.col("n_minutes") - 1))
+    return stage(bounds.withColumn("n_other", F.when(usable, F.col("n_minutes") - 1)))
 
 
 def nx_in_window(
