@@ -57,13 +57,16 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that benchmark passages don't contaminate, whatever their ids; each is judged by its own text."""
+    """Rows that benchmark passages don't contaminate, whatever their ids; each is judged by its own text.
+
+    Only the hashes of contaminated texts are stored; without a text a row is clean.
+    """
+    own = F.xxhash64(F.col("text").cast("string"))
     with scratch(spark) as keep:
-        keyed = keep(_keyed(docs))
-        rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+        rows = docs.filter("text is not null").select(own.alias("doc_id"), "text")
         found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-        bad = keep(found.filter("contaminated").select(F.col("doc_id").alias("__row")))
-    return keyed.join(bad, "__row", "left_anti").select(*docs.columns)
+        bad = keep(found.filter("contaminated").select(F.col("doc_id").alias("__own")).distinct())
+    return docs.withColumn("__own", own).join(bad, "__own", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

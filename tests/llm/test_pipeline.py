@@ -62,6 +62,17 @@ def test_stages_on_planted_documents(spark, planted):
     assert ids["packing"] == ids["decontamination"]
 
 
+def test_contaminated_rows_go_without_a_copy_of_the_others(spark, planted, monkeypatch):
+    from dnsight.sources import storage
+
+    kept, real = [], storage.stage
+    monkeypatch.setattr(storage, "stage", lambda df: kept.append(real(df)) or kept[-1])
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    left = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, planted).collect()}
+    assert left == {r.doc_id for r in docs.collect()} - {104}
+    assert [(t.columns, t.count()) for t in kept] == [(["__own"], 1)]
+
+
 def test_rows_with_null_and_repeated_ids(spark, planted):
     random.seed(13)
     passage = spark.read.parquet(f"{planted}/benchmark.parquet").first().text
