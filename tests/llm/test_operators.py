@@ -362,6 +362,38 @@ def test_line_links_of_a_large_bucket(spark):
     assert 4 < len(groups(union)) < len(lines)
 
 
+def test_pairs_compared_in_parts(spark, monkeypatch):
+    """Parts of the pairs give the rows of all pairs together, and each part is a table of its own."""
+    lines = [f"the quick brown fox jumps over {k % 7} lazy dogs and {k} cats" for k in range(40)]
+    table = spark.createDataFrame([(k - 20, line) for k, line in enumerate(lines)], "hash long, line string")
+    pairs = spark.createDataFrame([(k - 20, o - 20) for k in range(40) for o in range(0, k, 3)], "a long, b long")
+    written = []
+    monkeypatch.setattr(line_dedup, "stage", lambda df: written.append(storage.stage(df)) or written[-1])
+    whole = line_dedup._compared(pairs, table).collect()
+    assert len(written) == 1
+    monkeypatch.setattr(line_dedup, "PAIRS", 10)
+    parts = line_dedup._compared(pairs, table).collect()
+    assert len(written) == 1 + line_dedup.PARTS
+    assert sorted(parts) == sorted(whole) and len(whole) == pairs.count()
+
+
+def test_band_keys_packed(spark):
+    """Rows that share a packed key are those that share a band, and equal lines of several batches are one line."""
+    rng = random.Random(8)
+    base = ["".join(rng.choices("abcdef ", k=60)) for _ in range(12)]
+    lines = base + [b[:40] + "".join(rng.choices("abcdef ", k=20)) for b in base] + ["x" * 50] * 3
+    table = spark.createDataFrame([(line,) for line in lines], "line string").repartition(5).withColumn("hash", F.xxhash64("line"))
+    rows = {(r.hash, j, r[f"k{j}"]) for r in line_dedup.bands(table).collect() for j in range(line_dedup.BANDS)}
+    buckets = {}
+    for line, j, key in rows:
+        buckets.setdefault((j, key), set()).add(line)
+    expected = sorted(sorted(b) for b in buckets.values() if len(b) > 1)
+    found = {}
+    for r in line_dedup._all_shared(table).collect():
+        found.setdefault(r.key, set()).add(r.hash)
+    assert sorted(sorted(b) for b in found.values()) == expected and expected
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == len(ODD) and rows[0].score == 2

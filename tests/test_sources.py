@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -232,3 +233,18 @@ def test_analyse_a_csv_file(spark, folder):
     (found,) = rows_of(spark.read.json(target))
     assert found["meta"]["messages"] == 500
     assert found["pareto"][0]["label"] == "S1"
+
+
+def test_staging_removes_what_it_shuffled(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.name() for f in map(disk.getAllBlocks().apply, range(disk.getAllBlocks().size())) if f.isShuffle()}
+    table = spark.range(0, 20000, 1, 4).select(F.xxhash64("id").alias("key")).groupBy("key").count()
+    before = files()
+    setting = spark.conf.get(storage.CLEANUP)
+    staged = storage.stage(table)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(storage.CLEANUP) == setting
+    assert staged.count() == table.count() == 20000
